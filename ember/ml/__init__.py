@@ -1 +1 @@
-
+"""MLlib pipelines: colour classification and regressor selection."""

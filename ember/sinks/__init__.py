@@ -1 +1,87 @@
+"""Writers. Each takes a DataFrame and writes it distributed (one file per
+task) unless a single file is asked for explicitly after an aggregation."""
 
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
+
+from ..functions.fmt import key_value_line
+
+
+def _line(df: DataFrame, line: Column | str | None) -> DataFrame:
+    if line is None:
+        if len(df.columns) != 1:
+            raise ValueError("give the line column/expression for a multi-column frame")
+        return df.select(F.col(df.columns[0]).cast("string").alias("value"))
+    return df.select((F.col(line) if isinstance(line, str) else line).alias("value"))
+
+
+def write_text(df: DataFrame, path: str, line: Column | str | None = None,
+               mode: str = "errorifexists", partitions: int | None = None) -> None:
+    """Text files, one line per row. ``partitions`` fixes the number of
+    output files (a shuffle); ``0`` keeps the input partitioning (map-only)."""
+    out = _line(df, line)
+    if partitions:
+        out = out.repartition(partitions)
+    out.write.mode(mode).text(path)
+
+
+def write_key_value(df: DataFrame, path: str, key: str, value: str, sep: str = "\t",
+                    mode: str = "errorifexists") -> None:
+    """Hadoop text output: ``key<TAB>value`` lines (no CSV quoting)."""
+    df.select(key_value_line(key, value, sep).alias("value")).write.mode(mode).text(path)
+
+
+def write_single_file(df: DataFrame, path: str, line: Column | str | None = None,
+                      mode: str = "errorifexists") -> None:
+    """One output file: for small, already aggregated results only."""
+    _line(df, line).coalesce(1).write.mode(mode).text(path)
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
+                  partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> None:
+    out = df.sortWithinPartitions(*sort_by) if sort_by else df
+    w = out.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).json(path)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = False) -> None:
+    df.write.mode(mode).option("header", header).csv(path)
+
+
+def write_snapshot(df: DataFrame, base: str, step: int, fmt: str = "json") -> str:
+    """``<base>/iter<step>`` snapshot of an iterative job's state."""
+    path = os.path.join(base, f"iter{step}")
+    df.write.mode("overwrite").format(fmt).save(path)
+    return path
+
+
+def count_only(df: DataFrame, counters: dict[str, Column], name: str = "counters") -> dict:
+    """Run the job for its side totals only (null sink): ``counters`` maps a
+    name to an aggregate expression; returns the totals."""
+    obs = Observation(name)
+    df.observe(obs, *[expr.alias(k) for k, expr in counters.items()]) \
+        .write.format("noop").mode("overwrite").save()
+    return obs.get
+
+
+def stream_writer(df: DataFrame, sink: str = "console", mode: str = "update",
+                  checkpoint: str | None = None, trigger: dict | None = None, **options):
+    """A configured ``DataStreamWriter`` (console, memory, parquet, ...)."""
+    w = df.writeStream.format(sink).outputMode(mode)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    for k, v in options.items():
+        w = w.option(k, v)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w
