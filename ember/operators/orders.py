@@ -57,9 +57,16 @@ def _ordered_names(lineitem: DataFrame, part: DataFrame, keys) -> DataFrame:
                     F.transform("_items", lambda x: x["p_name"]).alias("names")))
 
 
+def money(price) -> F.Column:
+    """Two-decimal price rounded on the exact binary value, as Python's
+    ``%.2f`` does (``format_string`` rounds the shortest decimal form half-up,
+    so 2.675 would print 2.68 instead of 2.67)."""
+    return F.regexp_replace(F.format_number(price, 2), ",", "")
+
+
 def format_order_line(key, price, names) -> F.Column:
     """``Order #<key> $<price .2f>: <names>``."""
-    return F.format_string("Order #%d $%.2f: %s", key, price, names)
+    return F.format_string("Order #%d $%s: %s", key, money(price), names)
 
 
 def order_part_names(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
