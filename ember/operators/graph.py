@@ -8,12 +8,14 @@ result is empty, as in the reference. A node reached from several parents in
 one hop keeps the smallest parent id, so results are deterministic.
 
 Scale notes:
-* The edge table is hash-partitioned by ``source`` once and checkpointed, so a
-  hop shuffles only the frontier, never the edges.
-* Each new level and the known table are checkpointed reliably (shared
-  checkpoint folder): lineage stays one hop long and a lost executor re-reads
-  the last level instead of replaying every hop.
-* The frontier is broadcast only when its measured size is within the bound.
+* The edge table is written once as Parquet (shared checkpoint folder),
+  clustered by ``source`` so each file covers a narrow key range; a hop with
+  a broadcast frontier scans it without any shuffle.
+* Each new level is written once the same way; the known table is the union
+  of the written levels, so lineage stays one hop long and a lost executor
+  re-reads a level instead of replaying every hop.
+* The frontier is broadcast only when its counted size is within the bound;
+  one aggregate per hop gives both that count and the target test.
 * The path travels with each node as an array (at most ``max_hops + 1``
   entries), so reconstructing it needs no further joins.
 The driver loop runs at most ``max_hops + 1`` times and reads only counts.
@@ -25,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
-from .joins import DEFAULT_BROADCAST_BYTES, measure
+from ..session import materialize
+from .joins import DEFAULT_BROADCAST_BYTES, row_width
 
 KNOWN_SCHEMA = T.StructType([
     T.StructField("node", T.StringType(), False),
@@ -56,37 +58,48 @@ def shortest_path_known(edges: DataFrame, src: str, dst: str, max_hops: int = 6,
     """Known-paths table ``node, source, distance, path`` at the hop the target
     was found; empty when it is not reachable within ``max_hops``."""
     spark = edges.sparkSession
-    checkpoint_dir(spark)
     if src == dst:
         return spark.createDataFrame([(src, None, 0, [src])], KNOWN_SCHEMA)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = (edges.select(F.col("source").cast("string"), F.col("destination").cast("string"))
-         .where(F.col("source").isNotNull() & F.col("destination").isNotNull())
-         .repartition(n, "source").checkpoint(eager=True))
-    known = spark.createDataFrame([(src, None, 0, [src])], KNOWN_SCHEMA)
-    frontier = known
+    e = materialize(
+        edges.select(F.col("source").cast("string"), F.col("destination").cast("string"))
+        .where(F.col("source").isNotNull() & F.col("destination").isNotNull())
+        .repartition(n, "source").sortWithinPartitions("source"), "bfs_edges")
+    frontier = spark.createDataFrame([(src, None, 0, [src])], KNOWN_SCHEMA)
+    levels = [frontier]           # each level checkpointed once; known = their union
+    size, found = 1, False
     for hop in range(max_hops + 1):
-        if not frontier.where(F.col("node") == dst).isEmpty():
-            return known
+        if found:
+            return _union(levels)
         if hop == max_hops:
             return _empty(spark)
-        f = measure(frontier.select(F.col("node").alias("source"), "distance", "path"),
-                    max_broadcast_bytes)
-        step = e.join(f.side(), "source").select(
+        f = frontier.select(F.col("node").alias("source"), "distance", "path")
+        if size * row_width(f.schema) <= max_broadcast_bytes:
+            f = F.broadcast(f)
+        step = e.join(f, "source").select(
             F.col("destination").alias("node"), "source",
             (F.col("distance") + 1).alias("distance"),
             F.concat("path", F.array("destination")).alias("path"))
         best = step.groupBy("node").agg(F.min(F.struct("source", "distance", "path")).alias("b"))
-        fresh = (best.select("node", "b.source", "b.distance", "b.path")
-                 .join(known.select("node"), "node", "left_anti")
-                 .checkpoint(eager=True))
-        if fresh.isEmpty():
+        frontier = materialize(best.select("node", "b.source", "b.distance", "b.path")
+                               .join(_union(levels).select("node"), "node", "left_anti"),
+                               f"bfs_level{hop + 1}")
+        stats = frontier.agg(F.count(F.lit(1)).alias("n"),
+                             F.max((F.col("node") == dst).cast("int")).alias("hit")).first()
+        size, found = stats["n"], bool(stats["hit"])
+        if size == 0:
             return _empty(spark)
-        known = known.unionByName(fresh).repartition(n, "node").checkpoint(eager=True)
-        frontier = fresh
+        levels.append(frontier)
     return _empty(spark)
 
 
+def _union(levels: list[DataFrame]) -> DataFrame:
+    out = levels[0]
+    for lvl in levels[1:]:
+        out = out.unionByName(lvl)
+    return out
+
+
 def shortest_path(edges: DataFrame, src: str, dst: str, max_hops: int = 6,
                   **kw) -> DataFrame:
     """The path from ``src`` to ``dst`` as ``pos, node`` rows (empty when none)."""

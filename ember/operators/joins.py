@@ -1,9 +1,9 @@
 """Join helpers: a size-checked broadcast with a shuffle-join fallback.
 
 A side is broadcast only after it has been materialised and measured. The
-measured side is checkpointed (reliably, in the shared checkpoint folder), so
+measured side is written as Parquet under the shared checkpoint folder, so
 the expensive input that produced it is scanned once, and a lost executor
-re-reads the checkpoint instead of recomputing it. Beyond the bound the join is
+re-reads that copy instead of recomputing it. Beyond the bound the join is
 left to the planner: a shuffle join, with AQE splitting skewed partitions.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import materialize
 
 # Rough per-value widths (bytes) used to turn a row count into a size estimate.
 _WIDTHS = {
@@ -57,8 +57,7 @@ class Measured:
 
 def measure(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> Measured:
     """Materialise a derived (normally aggregated) frame and measure it."""
-    checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
+    materialised = materialize(df, "measured")
     rows = materialised.count()
     est = rows * row_width(materialised.schema)
     return Measured(materialised, rows, est, est <= max_bytes)

@@ -15,16 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fmt import word_count_line
-from ..functions.text import locale_tokens, nfd, split_words
+from ..functions.text import locale_tokens, nfd, split_raw
+from .partitioning import spread
 
 
 def words(df: DataFrame, text: str = "text", repartition: int | None = None) -> DataFrame:
-    """One row per word occurrence (``word``). ``repartition`` spreads
-    unbalanced input (few large files) over more tasks before tokenising."""
-    src = df.select(text)
-    if repartition:
-        src = src.repartition(repartition)
-    return src.select(F.explode(split_words(F.col(text))).alias("word"))
+    """One row per word occurrence (``word``). Input with fewer partitions
+    than the cluster's cores (few large files) is spread over ``repartition``
+    (default: all cores) tasks before tokenising."""
+    src = spread(df.select(text), repartition)
+    return (src.select(F.explode(split_raw(F.col(text))).alias("word"))
+            .where(F.col("word") != ""))
 
 
 def _normalise(counts: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def token_count(df: DataFrame, text: str = "text", normalise: bool = True,
                 keep_punctuation: bool = True) -> DataFrame:
     """``word, count`` over locale word-break tokens, case kept (the
     MapReduce word count)."""
-    toks = df.select(F.explode(locale_tokens(F.col(text), keep_punctuation=keep_punctuation))
+    toks = spread(df.select(text)).select(F.explode(locale_tokens(F.col(text), keep_punctuation=keep_punctuation))
                      .alias("word")).where(F.trim("word") != "")
     counts = toks.select(F.trim("word").alias("word")).groupBy("word") \
         .agg(F.count(F.lit(1)).alias("count"))

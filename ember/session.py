@@ -69,3 +69,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     materialised intermediate tables)."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
+    folder and return a frame reading it back.
+
+    This cuts lineage like ``checkpoint()`` (a lost executor re-reads the
+    files), but the copy is columnar: scans are vectorised, prune columns,
+    and the planner sees its real size."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
