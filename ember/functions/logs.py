@@ -13,15 +13,24 @@ LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
 
 def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
     """Lines that do not match are dropped; returns
-    ``host string, datetime timestamp_ntz, path string, bytes double``."""
+    ``host string, datetime timestamp_ntz, path string, bytes double``.
+
+    The pattern runs once per line: the four groups are rewritten into one
+    tab-separated string (no group can contain a tab, all are ``\\S+`` or
+    inside the bracketed time), a line that the rewrite leaves unchanged did
+    not match, and a generator emits zero or one record per line."""
     v = F.col(col)
-    ts = F.try_to_timestamp(F.regexp_extract(v, LOG_PATTERN, 2), F.lit(LOG_TIME_FORMAT))
-    return (lines.where(v.rlike(LOG_PATTERN))
-            .select(F.regexp_extract(v, LOG_PATTERN, 1).alias("host"),
-                    ts.cast("timestamp_ntz").alias("datetime"),
-                    F.regexp_extract(v, LOG_PATTERN, 3).alias("path"),
-                    F.regexp_extract(v, LOG_PATTERN, 4).cast("double").alias("bytes"))
-            .where(F.col("datetime").isNotNull()))
+    packed = lines.select(v.alias("_line"),
+                          F.regexp_replace(v, LOG_PATTERN, "$1\t$2\t$3\t$4").alias("_packed"))
+    parts = F.split(F.col("_packed"), "\t")
+    record = F.struct(
+        parts[0].alias("host"),
+        F.try_to_timestamp(parts[1], F.lit(LOG_TIME_FORMAT)).cast("timestamp_ntz").alias("datetime"),
+        parts[2].alias("path"),
+        parts[3].cast("double").alias("bytes"))
+    matched = F.col("_packed") != F.col("_line")
+    return (packed.select(F.explode(F.when(matched, F.array(record))).alias("_r"))
+            .select("_r.*").where(F.col("datetime").isNotNull()))
 
 
 def render_access_log(host: Column, ts: Column, path: Column, nbytes: Column,

@@ -34,13 +34,15 @@ def station_ranges(obs: DataFrame, station="station", date="date",
         F.col(station).alias("station"), F.col(date).alias("date"),
         F.col(observation).alias("obs"), F.col(value).alias("value"))
     level1 = o.groupBy("station", "date", "obs", "value").agg(F.count(F.lit(1)).alias("n"))
-    tmax = F.max(F.when(F.col("obs") == "TMAX", F.struct("value", "n")))
-    tmin = F.min(F.when(F.col("obs") == "TMIN", F.struct("value", "n")))
-    level2 = level1.groupBy("station", "date").agg(tmax.alias("hi"), tmin.alias("lo"))
+    is_max, is_min = F.col("obs") == "TMAX", F.col("obs") == "TMIN"
+    hi, lo = F.when(is_max, F.col("value")), F.when(is_min, F.col("value"))
+    # max_by/min_by keep fixed-width buffers, so this stays a HashAggregate
+    level2 = level1.groupBy("station", "date").agg(
+        F.max(hi).alias("hi"), F.max_by(F.when(is_max, F.col("n")), hi).alias("hi_n"),
+        F.min(lo).alias("lo"), F.min_by(F.when(is_min, F.col("n")), lo).alias("lo_n"))
     return (level2.where(F.col("hi").isNotNull() & F.col("lo").isNotNull())
-            .select("date", "station",
-                    (F.col("hi.value") - F.col("lo.value")).alias("range"),
-                    (F.col("hi.n") * F.col("lo.n")).alias("pairs")))
+            .select("date", "station", (F.col("hi") - F.col("lo")).alias("range"),
+                    (F.col("hi_n") * F.col("lo_n")).alias("pairs")))
 
 
 def daily_max_range(obs: DataFrame, expand_pairs: bool = True, sort: bool = True,
@@ -70,11 +72,13 @@ def daily_max_range_sql(spark: SparkSession, obs: DataFrame, sort: bool = True)
           GROUP BY station, date, observation, value),
         level2 AS (
           SELECT station, date,
-                 max(CASE WHEN obs = 'TMAX' THEN named_struct('value', value, 'n', n) END) AS hi,
-                 min(CASE WHEN obs = 'TMIN' THEN named_struct('value', value, 'n', n) END) AS lo
+                 max(CASE WHEN obs = 'TMAX' THEN value END) AS hi,
+                 max_by(CASE WHEN obs = 'TMAX' THEN n END, CASE WHEN obs = 'TMAX' THEN value END) AS hi_n,
+                 min(CASE WHEN obs = 'TMIN' THEN value END) AS lo,
+                 min_by(CASE WHEN obs = 'TMIN' THEN n END, CASE WHEN obs = 'TMIN' THEN value END) AS lo_n
           FROM level1 GROUP BY station, date),
         ranges AS (
-          SELECT date, station, hi.value - lo.value AS range, hi.n * lo.n AS pairs
+          SELECT date, station, hi - lo AS range, hi_n * lo_n AS pairs
           FROM level2 WHERE hi IS NOT NULL AND lo IS NOT NULL),
         best AS (SELECT date, max(range) AS range FROM ranges GROUP BY date)
         SELECT r.date, r.station, r.range
