@@ -29,6 +29,13 @@ GRIDS = [
 ]
 TRAIN_RATIO = 0.2  # share of the training rows used to fit inside each split
 
+# Station-temperature rows: features with the day of year derived in-plan.
+WEATHER_FEATURES = ["latitude", "longitude", "elevation", "doy"]
+WEATHER_STATEMENT = ("SELECT station, date, dayofyear(date) AS doy, latitude, longitude, "
+                     "elevation, tmax FROM __THIS__")
+WEATHER_SCHEMA = ("station string, date date, latitude float, longitude float, "
+                  "elevation float, tmax float")
+
 
 def param_grid(estimator, grid: dict):
     b = ParamGridBuilder()
@@ -82,3 +89,9 @@ def predictions(model, df: DataFrame, label_col: str) -> DataFrame:
     """Full-data predictions of a fitted model, without the feature vector."""
     return model.transform(df).drop("features").withColumn(
         "residual", F.col(label_col) - F.col("prediction"))
+
+
+def best_weather_model(df: DataFrame, seed: int = 42):
+    """The station-temperature form: predict ``tmax`` from position,
+    elevation and day of year."""
+    return best_regressor(df, WEATHER_FEATURES, "tmax", WEATHER_STATEMENT, seed=seed)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
+from ..sinks import write_snapshot
 from .joins import DEFAULT_BROADCAST_BYTES, row_width
 
 KNOWN_SCHEMA = T.StructType([
@@ -54,9 +55,13 @@ def _empty(spark) -> DataFrame:
 
 def shortest_path_known(edges: DataFrame, src: str, dst: str, max_hops: int = 6,
                         partitions: int | None = None,
-                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                        snapshot_dir: str | None = None) -> DataFrame:
     """Known-paths table ``node, source, distance, path`` at the hop the target
-    was found; empty when it is not reachable within ``max_hops``."""
+    was found; empty when it is not reachable within ``max_hops``.
+
+    ``snapshot_dir`` also writes the known table after every hop as JSON
+    (``<dir>/iter<i>``), as the reference did."""
     spark = edges.sparkSession
     if src == dst:
         return spark.createDataFrame([(src, None, 0, [src])], KNOWN_SCHEMA)
@@ -69,6 +74,8 @@ def shortest_path_known(edges: DataFrame, src: str, dst: str, max_hops: int = 6,
     levels = [frontier]           # each level checkpointed once; known = their union
     size, found = 1, False
     for hop in range(max_hops + 1):
+        if snapshot_dir:
+            write_snapshot(_union(levels), snapshot_dir, hop)
         if found:
             return _union(levels)
         if hop == max_hops:

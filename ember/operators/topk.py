@@ -42,3 +42,15 @@ def max_per_group(df: DataFrame, group: str | Sequence[str], value: str,
     """Only the maximum per group (the MapReduce job's output)."""
     groups = [group] if isinstance(group, str) else list(group)
     return df.groupBy(*groups).agg(F.max(value).alias(alias))
+
+
+def argmax_per_group(df: DataFrame, group: str | Sequence[str], value: str,
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """Exactly one row per group: the maximum ``value`` and the ``keep``
+    columns of a row holding it (on ties, the largest ``keep`` tuple, so the
+    answer is deterministic). One partial + final aggregate, no join."""
+    groups = [group] if isinstance(group, str) else list(group)
+    best = F.max(F.struct(F.col(value).alias("_v"), *[F.col(c) for c in keep]))
+    return (df.where(F.col(value).isNotNull()).groupBy(*groups).agg(best.alias("_b"))
+            .select(*groups, *[F.col(f"_b.{c}").alias(c) for c in keep],
+                    F.col("_b._v").alias(value)))

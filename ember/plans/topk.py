@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.topk import max_per_group, top_per_group
+from ..operators.topk import argmax_per_group, max_per_group, top_per_group
 from ..sources.delimited import popular_pages
 from ..sources.testdata import table
 from .registry import register
@@ -34,6 +34,17 @@ def hourly_max_views(spark, sf_dir):
     return max_per_group(_hourly_views(spark, sf_dir), "hour", "views")
 
 
+@register("hourly_most_viewed", oracle="""
+WITH v AS (SELECT strftime(ts, '%Y%m%d-%H') AS hour, event_id AS title, value AS views FROM events),
+m AS (SELECT hour, max(views) AS views FROM v GROUP BY hour)
+SELECT v.hour, max(v.title) AS title, v.views FROM v JOIN m ON v.hour = m.hour AND v.views = m.views
+GROUP BY v.hour, v.views
+""")
+def hourly_most_viewed(spark, sf_dir):
+    """The most-viewed title itself, one row per hour (one aggregate)."""
+    return argmax_per_group(_hourly_views(spark, sf_dir), "hour", "views", keep=["title"])
+
+
 @register("source_top_documents", oracle="""
 WITH v AS (SELECT source, CAST(doc_id AS VARCHAR) AS title, n_chars FROM documents
            WHERE lang = 'en' AND NOT starts_with(CAST(doc_id AS VARCHAR), 'Main_Page')

@@ -88,3 +88,14 @@ def run_available(messages: DataFrame, checkpoint: str, results: str,
     spark = messages.sparkSession
     out = spark.read.parquet(results)
     return out.orderBy(F.desc("batch_id")).limit(1).drop("batch_id")
+
+
+def run_for(messages: DataFrame, checkpoint: str, seconds: float = 120.0,
+            sink: str = "console", digits: int | None = None) -> StreamingQuery:
+    """Run the regression for a bounded time (the reference waited 120 s),
+    then stop it; the checkpoint lets a later run resume the state."""
+    q = start_regression(messages, checkpoint, sink=sink, digits=digits)
+    q.awaitTermination(seconds)
+    if q.isActive:
+        q.stop()
+    return q
