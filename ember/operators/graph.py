@@ -1,41 +1,46 @@
 """Bounded breadth-first shortest path over an edge table.
 
 ``shortest_path_known`` expands a frontier hop by hop (a join of the frontier
-with the edges), removes already known nodes (left anti join), and appends the
-new level to the known-paths table. It stops when the target is in the
-frontier, when the frontier is empty, or after ``max_hops`` hops - then the
-result is empty, as in the reference. A node reached from several parents in
-one hop keeps the smallest parent id, so results are deterministic.
+with the edges), keeps the smallest parent id for a node reached from several
+parents in one hop, removes already known nodes (left anti join), and adds the
+new level to the known-paths table ``node, source, distance``. It stops when
+the target is in the frontier, when the frontier is empty, or after
+``max_hops`` hops - then the result is empty, as in the reference.
 
 Scale notes:
-* The edge table is written once as Parquet (shared checkpoint folder),
-  clustered by ``source`` so each file covers a narrow key range; a hop with
-  a broadcast frontier scans it without any shuffle.
+* The edge table is written once as Parquet under the shared checkpoint
+  folder (spread over all cores first if the input has fewer splits), unless
+  it already is a plain projection of stored tables; each hop scans it
+  (vectorised, two columns). With a broadcast frontier a hop never shuffles
+  the edges.
 * Each new level is written once the same way; the known table is the union
   of the written levels, so lineage stays one hop long and a lost executor
   re-reads a level instead of replaying every hop.
 * The frontier is broadcast only when its counted size is within the bound;
-  one aggregate per hop gives both that count and the target test.
-* The path travels with each node as an array (at most ``max_hops + 1``
-  entries), so reconstructing it needs no further joins.
+  beyond it the hop is a shuffle join (AQE splits a hub's skewed partition).
+  An ``Observation`` on the level's write gives both that count and the
+  target test, with no extra job.
+* Levels hold parent pointers only (no path arrays), so storage stays one row
+  of three columns per node; ``shortest_path`` rebuilds the path with one
+  chained join over the levels (one row per level), in a single job.
 The driver loop runs at most ``max_hops + 1`` times and reads only counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
 from ..sinks import write_snapshot
 from .joins import DEFAULT_BROADCAST_BYTES, row_width
+from .partitioning import spread
 
 KNOWN_SCHEMA = T.StructType([
     T.StructField("node", T.StringType(), False),
     T.StructField("source", T.StringType(), True),
     T.StructField("distance", T.IntegerType(), False),
-    T.StructField("path", T.ArrayType(T.StringType(), False), False),
 ])
 
 
@@ -54,50 +59,60 @@ def _empty(spark) -> DataFrame:
 
 
 def shortest_path_known(edges: DataFrame, src: str, dst: str, max_hops: int = 6,
-                        partitions: int | None = None,
                         max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                        snapshot_dir: str | None = None) -> DataFrame:
-    """Known-paths table ``node, source, distance, path`` at the hop the target
-    was found; empty when it is not reachable within ``max_hops``.
+                        snapshot_dir: str | None = None,
+                        materialize_edges: bool = True) -> DataFrame:
+    """Known-paths table ``node, source, distance`` at the hop the target was
+    found; empty when it is not reachable within ``max_hops``.
 
     ``snapshot_dir`` also writes the known table after every hop as JSON
-    (``<dir>/iter<i>``), as the reference did."""
+    (``<dir>/iter<i>``), as the reference did. ``materialize_edges=False``
+    skips the one-off copy of the edges when they already are a plain
+    projection of stored columns (re-scanning them is as cheap as the copy)."""
+    levels = _search(edges, src, dst, max_hops, max_broadcast_bytes, snapshot_dir,
+                     materialize_edges)
+    return _union(levels) if levels else _empty(edges.sparkSession)
+
+
+def _search(edges, src, dst, max_hops, max_broadcast_bytes, snapshot_dir,
+            materialize_edges=True):
+    """The written levels 0..d (d = distance of ``dst``), or None."""
     spark = edges.sparkSession
+    frontier = spark.createDataFrame([(src, None, 0)], KNOWN_SCHEMA)
     if src == dst:
-        return spark.createDataFrame([(src, None, 0, [src])], KNOWN_SCHEMA)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = materialize(
-        edges.select(F.col("source").cast("string"), F.col("destination").cast("string"))
-        .where(F.col("source").isNotNull() & F.col("destination").isNotNull())
-        .repartition(n, "source").sortWithinPartitions("source"), "bfs_edges")
-    frontier = spark.createDataFrame([(src, None, 0, [src])], KNOWN_SCHEMA)
-    levels = [frontier]           # each level checkpointed once; known = their union
+        return [frontier]
+    e = (edges.select(F.col("source").cast("string"), F.col("destination").cast("string"))
+         .where(F.col("source").isNotNull() & F.col("destination").isNotNull()))
+    if materialize_edges:
+        e = materialize(spread(e), "bfs_edges")
+    levels = [frontier]
     size, found = 1, False
     for hop in range(max_hops + 1):
         if snapshot_dir:
             write_snapshot(_union(levels), snapshot_dir, hop)
         if found:
-            return _union(levels)
+            return levels
         if hop == max_hops:
-            return _empty(spark)
-        f = frontier.select(F.col("node").alias("source"), "distance", "path")
+            return None
+        f = frontier.select(F.col("node").alias("source"))
         if size * row_width(f.schema) <= max_broadcast_bytes:
             f = F.broadcast(f)
-        step = e.join(f, "source").select(
-            F.col("destination").alias("node"), "source",
-            (F.col("distance") + 1).alias("distance"),
-            F.concat("path", F.array("destination")).alias("path"))
-        best = step.groupBy("node").agg(F.min(F.struct("source", "distance", "path")).alias("b"))
-        frontier = materialize(best.select("node", "b.source", "b.distance", "b.path")
-                               .join(_union(levels).select("node"), "node", "left_anti"),
-                               f"bfs_level{hop + 1}")
-        stats = frontier.agg(F.count(F.lit(1)).alias("n"),
-                             F.max((F.col("node") == dst).cast("int")).alias("hit")).first()
+        best = (e.join(f, "source").groupBy(F.col("destination").alias("node"))
+                .agg(F.min("source").alias("source")))
+        fresh = (best.join(_union(levels).select("node"), "node", "left_anti")
+                 .select("node", "source", F.lit(hop + 1).alias("distance")))
+        # the level's size and the target test come from the write itself
+        obs = Observation(f"bfs_level{hop + 1}")
+        frontier = materialize(
+            fresh.observe(obs, F.count(F.lit(1)).alias("n"),
+                          F.max((F.col("node") == dst).cast("int")).alias("hit")),
+            f"bfs_level{hop + 1}")
+        stats = obs.get
         size, found = stats["n"], bool(stats["hit"])
         if size == 0:
-            return _empty(spark)
+            return None
         levels.append(frontier)
-    return _empty(spark)
+    return None
 
 
 def _union(levels: list[DataFrame]) -> DataFrame:
@@ -109,7 +124,22 @@ def _union(levels: list[DataFrame]) -> DataFrame:
 
 def shortest_path(edges: DataFrame, src: str, dst: str, max_hops: int = 6,
                   **kw) -> DataFrame:
-    """The path from ``src`` to ``dst`` as ``pos, node`` rows (empty when none)."""
-    known = shortest_path_known(edges, src, dst, max_hops, **kw)
-    return (known.where(F.col("node") == dst)
-            .select(F.posexplode("path").alias("pos", "node")))
+    """The path from ``src`` to ``dst`` as ``pos, node`` rows (empty when none).
+
+    Following parent pointers back from the target is one chained join over
+    the levels (each side one row), evaluated as a single job."""
+    spark = edges.sparkSession
+    levels = _search(edges, src, dst, max_hops,
+                     kw.get("max_broadcast_bytes", DEFAULT_BROADCAST_BYTES),
+                     kw.get("snapshot_dir"), kw.get("materialize_edges", True))
+    if not levels:
+        return spark.createDataFrame([], "pos int, node string")
+    d = len(levels) - 1
+    chain = levels[d].where(F.col("node") == dst).select(
+        F.col("node").alias(f"n{d}"), F.col("source").alias(f"n{d - 1}") if d else F.lit(None))
+    for k in range(d - 1, 0, -1):
+        step = levels[k].select(F.col("node").alias(f"n{k}"), F.col("source").alias(f"n{k - 1}"))
+        chain = chain.join(step, f"n{k}")
+    nodes = F.array(*[F.col(f"n{k}") for k in range(d + 1)])
+    return chain.select(F.posexplode(nodes).alias("pos", "node")).select(
+        F.col("pos").cast("int"), "node")
