@@ -46,3 +46,13 @@ def log_correlation(spark, sf_dir):
 def log_correlation_two_pass(spark, sf_dir):
     hosts = agg.host_totals(_parsed(spark, sf_dir))
     return agg.correlation_two_pass(hosts, "requests", "bytes")
+
+
+@register("log_six_sums", oracle=_HOSTS + """
+SELECT count(*) AS n, CAST(sum(requests) AS DOUBLE) AS sum_x, sum(bytes) AS sum_y,
+       CAST(sum(requests * requests) AS DOUBLE) AS sum_x2, sum(bytes * bytes) AS sum_y2,
+       sum(requests * bytes) AS sum_xy FROM h
+""")
+def log_six_sums(spark, sf_dir):
+    """The one-pass moment tuple over per-host (requests, bytes)."""
+    return agg.six_sums(agg.host_totals(_parsed(spark, sf_dir)), "requests", "bytes")

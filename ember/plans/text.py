@@ -29,6 +29,14 @@ def word_count_by_freq(spark, sf_dir):
     return wc.by_frequency(counts)
 
 
+@register("word_count_by_word", oracle=f"""
+SELECT word, count, word || ' ' || CAST(count AS VARCHAR) AS line FROM ({_WORDS})
+""")
+def word_count_by_word(spark, sf_dir):
+    counts = wc.word_count(table(spark, sf_dir, "documents"), "text", normalise=False)
+    return wc.by_word(counts)
+
+
 @register("word_count_nfd")
 def word_count_nfd(spark, sf_dir):
     """The reference's word count: words emitted and grouped in Unicode NFD

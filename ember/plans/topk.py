@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.topk import argmax_per_group, max_per_group, top_per_group
-from ..sources.delimited import popular_pages
+from ..session import scratch_path
+from ..sources import standins
+from ..sources.delimited import popular_pages, read_pageviews
 from ..sources.testdata import table
 from .registry import register
 
@@ -58,3 +60,29 @@ def source_top_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         "source", "lang", F.col("doc_id").cast("string").alias("title"), "n_chars")
     return top_per_group(popular_pages(docs), "source", "n_chars", keep=["title"])
+
+
+@register("pageview_files_top", oracle="""
+WITH v AS (
+  SELECT strftime(ts, '%Y%m%d-%H') AS hour,
+         CASE WHEN event_type = 'signup' THEN 'Special:' || event_id
+              ELSE CAST(event_id AS VARCHAR) END AS title,
+         CAST(round(value * 100) AS BIGINT) AS views
+  FROM events WHERE event_type <> 'error'),
+w AS (SELECT * FROM v WHERE NOT starts_with(title, 'Main_Page')
+                         AND NOT starts_with(title, 'Special:')),
+m AS (SELECT hour, max(views) AS views FROM w GROUP BY hour)
+SELECT w.hour, w.title, w.views FROM w JOIN m ON w.hour = m.hour AND w.views = m.views
+""")
+def pageview_files_top(spark, sf_dir):
+    """Page-view text files (one folder per hour, named by its stamp) read
+    with a space separator and no quoting; hour from the path; English,
+    non-special pages; most-viewed titles per hour with ties."""
+    path = scratch_path(spark, "pagecounts")
+    # every hour folder written by one task, all cores writing (an explicit
+    # count, so AQE does not coalesce the writers back into one task)
+    writers = spark.sparkContext.defaultParallelism
+    (standins.pageview_lines(table(spark, sf_dir, "events"))
+     .repartition(writers, "pagecounts").write.partitionBy("pagecounts").text(path))
+    pv = popular_pages(read_pageviews(spark, path, from_path=True))
+    return top_per_group(pv, "hour", "views", keep=["title"])

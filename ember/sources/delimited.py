@@ -27,13 +27,17 @@ def hour_from_file_name(name: F.Column) -> F.Column:
     return F.regexp_extract(name, HOUR_IN_NAME, 1)
 
 
-def read_pageviews(spark: SparkSession, path) -> DataFrame:
+def read_pageviews(spark: SparkSession, path, from_path: bool = False) -> DataFrame:
     """Space-separated ``lang title views bytes`` lines with the hour taken
-    from the file name. Quotes are ordinary characters (titles may contain
-    them); lines whose counts do not parse are dropped."""
+    from the file name (or, with ``from_path``, from anywhere in the file's
+    path, e.g. a ``pagecounts-.../`` folder). Quotes are ordinary characters
+    (titles may contain them); lines whose counts do not parse are dropped.
+    Folders are read recursively, without partition inference."""
     df = (spark.read.schema(PAGEVIEW_SCHEMA).option("sep", " ").option("quote", "")
-          .option("escape", "").option("mode", "PERMISSIVE").csv(path))
-    return (df.select("*", hour_from_file_name(F.col("_metadata.file_name")).alias("hour"))
+          .option("escape", "").option("mode", "PERMISSIVE")
+          .option("recursiveFileLookup", "true").csv(path))
+    name = F.col("_metadata.file_path") if from_path else F.col("_metadata.file_name")
+    return (df.select("*", hour_from_file_name(name).alias("hour"))
             .where(F.col("views").isNotNull()))
 
 

@@ -7,6 +7,9 @@ Each adapter is a Spark transformation of a whole table (see FIXTURES.md §3):
                              TMAX = purchase value, TMIN = view value)
 * log lines     <- events   (host = user_id, path = /event_type, bytes = whole value)
 * points        <- events   ("x y" text with x = user_id, y = value)
+* page views    <- events   (one file per hour; lang = fr for errors else en,
+                             title = event id, "Special:" prefix for signups,
+                             views = value in cents)
 * link graph    <- region -> nation -> customer -> order -> part
 * colours       <- part     (R, G, B from key and size; label = dominant channel)
 """
@@ -86,3 +89,16 @@ def colours(part: DataFrame) -> DataFrame:
              .when(F.col("G") >= F.col("B"), "green").otherwise("blue"))
     return (part.select(r.alias("R"), g.alias("G"), b.alias("B"), "p_partkey")
             .withColumn("labelword", label))
+
+
+def pageview_lines(events: DataFrame) -> DataFrame:
+    """``lang title views bytes`` lines plus the ``pagecounts`` file stamp
+    (``yyyyMMdd-HH0000``) of the hour they belong to."""
+    lang = F.when(F.col("event_type") == "error", "fr").otherwise("en")
+    title = F.when(F.col("event_type") == "signup",
+                   F.concat(F.lit("Special:"), F.col("event_id").cast("string"))) \
+        .otherwise(F.col("event_id").cast("string"))
+    views = F.round(F.col("value") * 100).cast("bigint")
+    line = F.concat_ws(" ", lang, title, views.cast("string"), F.col("user_id").cast("string"))
+    return events.select(line.alias("value"),
+                         F.date_format("ts", "yyyyMMdd-HH0000").alias("pagecounts"))
