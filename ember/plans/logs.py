@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from ..functions.logs import parse_access_log
 from ..operators import aggregate as agg
+from ..operators.ingest import ingest_access_log
+from ..session import scratch_path
 from ..sources import standins
+from ..sources.store import KeyedStore
 from ..sources.testdata import table
 from .registry import register
 
@@ -56,3 +59,15 @@ SELECT count(*) AS n, CAST(sum(requests) AS DOUBLE) AS sum_x, sum(bytes) AS sum_
 def log_six_sums(spark, sf_dir):
     """The one-pass moment tuple over per-host (requests, bytes)."""
     return agg.six_sums(agg.host_totals(_parsed(spark, sf_dir)), "requests", "bytes")
+
+
+@register("store_log_correlation", oracle=_CORR)
+def store_log_correlation(spark, sf_dir):
+    """Load parsed log rows (with a UUID key) into a keyed store, then read
+    the store table back and correlate requests with bytes per host."""
+    store = KeyedStore(spark, root=scratch_path(spark, "store"))
+    lines = standins.log_lines(table(spark, sf_dir, "events"))
+    ingest_access_log(lines, store=store, keyspace="logs", table="nasalogs", with_uid=True,
+                      batch_rows=300_000)
+    rows = store.read("logs", "nasalogs", view=False).select("host", "bytes")
+    return agg.correlation(agg.host_totals(rows), "requests", "bytes")

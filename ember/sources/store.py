@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class KeyedStore:
@@ -47,10 +48,17 @@ class KeyedStore:
                batch_rows: int | None = None, parallelism: int | None = None) -> None:
         """Append rows. With Parquet the rows are clustered by ``key`` so a
         key look-up reads few row groups; ``batch_rows`` caps rows per file
-        (the store's write batch); ``parallelism`` sets concurrent writers."""
+        (the store's write batch); ``parallelism`` sets concurrent writers.
+
+        Writers get ranges of (key, row hash): each file covers a narrow key
+        range, yet a hot key is split over several writers instead of one."""
         out = df
         if parallelism:
-            out = out.repartition(parallelism, key) if key else out.repartition(parallelism)
+            if key:
+                out = out.repartitionByRange(parallelism, F.col(key),
+                                             F.xxhash64(*[F.col(c) for c in df.columns]))
+            else:
+                out = out.repartition(parallelism)
         if key:
             out = out.sortWithinPartitions(key)
         writer = out.write.mode("append").format(self.fmt).options(**self.options)
