@@ -53,7 +53,7 @@ def trainers(feature_cols, label_col: str, statement: str, grids=GRIDS,
     out = []
     for cls, grid in grids:
         est = cls(**names)
-        if "seed" in est.params.__repr__() or est.hasParam("seed"):
+        if est.hasParam("seed"):
             est = est.setSeed(seed)
         pipe = Pipeline(stages=[SQLTransformer(statement=statement),
                                 VectorAssembler(inputCols=list(feature_cols), outputCol="features"),
