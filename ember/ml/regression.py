@@ -8,6 +8,8 @@ metric is returned with the score table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -66,17 +68,22 @@ def trainers(feature_cols, label_col: str, statement: str, grids=GRIDS,
 
 def best_regressor(df: DataFrame, feature_cols, label_col: str, statement: str,
                    split_key: str | None = None, seed: int = 42, grids=GRIDS,
-                   metric: str = "r2"):
+                   metric: str = "r2", parallelism: int = 2):
     """Returns ``(best_model, scores)``; ``scores`` is ``model, score, best``
-    with the score on the evaluator's scale (larger is better for r2)."""
+    with the score on the evaluator's scale (larger is better for r2).
+    Up to ``parallelism`` tuners run concurrently; all are seeded."""
     train, test = train_test_split(df, 0.75, key=split_key, seed=seed)
     tvs_list = trainers(feature_cols, label_col, statement, grids, metric=metric, seed=seed)
     ev = tvs_list[0][1].getEvaluator()
     sign = 1.0 if ev.isLargerBetter() else -1.0
-    fitted = []
-    for name, tvs in tvs_list:
+
+    def fit(item):
+        name, tvs = item
         model = tvs.fit(train)
-        fitted.append((model, name, sign * float(ev.evaluate(model.transform(test)))))
+        return model, name, sign * float(ev.evaluate(model.transform(test)))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fitted = list(pool.map(fit, tvs_list))
     best = max(fitted, key=lambda t: t[2])
     train.unpersist()
     test.unpersist()
