@@ -45,12 +45,19 @@ def max_per_group(df: DataFrame, group: str | Sequence[str], value: str,
 
 
 def argmax_per_group(df: DataFrame, group: str | Sequence[str], value: str,
-                     keep: Sequence[str] = ()) -> DataFrame:
+                     keep: Sequence[str] = (),
+                     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Exactly one row per group: the maximum ``value`` and the ``keep``
     columns of a row holding it (on ties, the largest ``keep`` tuple, so the
-    answer is deterministic). One partial + final aggregate, no join."""
+    answer is deterministic).
+
+    The full data only goes through the hash-aggregated maximum and a
+    broadcast semi join (``top_per_group``); the tie-break aggregate, whose
+    struct buffer needs a sort-based aggregate, sees only the winning rows."""
     groups = [group] if isinstance(group, str) else list(group)
-    best = F.max(F.struct(F.col(value).alias("_v"), *[F.col(c) for c in keep]))
-    return (df.where(F.col(value).isNotNull()).groupBy(*groups).agg(best.alias("_b"))
-            .select(*groups, *[F.col(f"_b.{c}").alias(c) for c in keep],
-                    F.col("_b._v").alias(value)))
+    winners = top_per_group(df, groups, value, keep=keep, sort=False,
+                            max_broadcast_bytes=max_broadcast_bytes)
+    best = F.max(F.struct(*[F.col(c) for c in keep])) if keep else None
+    aggs = [F.max(value).alias(value)] + ([best.alias("_b")] if keep else [])
+    return (winners.groupBy(*groups).agg(*aggs)
+            .select(*groups, *[F.col(f"_b.{c}").alias(c) for c in keep], value))
