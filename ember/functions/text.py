@@ -58,21 +58,44 @@ def split_raw(text: Column | str) -> Column:
     return F.split(F.lower(F.col(text) if isinstance(text, str) else text), WORD_SEPARATOR)
 
 
-# Punctuation that is its own token: not flanked on both sides by a letter
-# or digit (so ``it's`` and ``3.5`` stay one token).
-_LONE_PUNCT = r"(?<![\p{L}\p{N}])[^\p{L}\p{N}\p{Z}\s]|[^\p{L}\p{N}\p{Z}\s](?![\p{L}\p{N}])"
+# Fixed values (the JVM's word-break rules, as observed on java.text.BreakIterator):
+# characters that join two letters into one word, characters that join two
+# digits into one number, characters that end a number, and characters that
+# start a number.
+MID_LETTER = "\"'-._"
+MID_NUMBER = "\"',."
+NUMBER_SUFFIX = "%&"
+NUMBER_PREFIX = "#$."
+
+
+def _cls(chars: str) -> str:
+    return "[" + "".join("\\" + c for c in chars) + "]"
+
+
+# Tokens the word rules produce that do not start with a letter or digit (so
+# ``sentences`` drops them): a number led by a prefix character (``$12``,
+# ``.09``), or a single non-space character that does not join a word.
+_LETTER, _DIGIT = r"[\p{L}\p{M}]", r"\p{Nd}"
+_PREFIXED_NUMBER = (f"(?:[#$]|(?<!{_DIGIT})\\.){_DIGIT}+"
+                    f"(?:{_cls(MID_NUMBER)}{_DIGIT}+)*{_cls(NUMBER_SUFFIX)}?")
+_LONE_MARK = (f"(?!(?<={_LETTER}){_cls(MID_LETTER)}(?={_LETTER}))"
+              f"(?!(?<={_DIGIT}){_cls(MID_NUMBER)}(?={_DIGIT}))"
+              f"(?!(?<={_DIGIT}){_cls(NUMBER_SUFFIX)})"
+              r"[^\p{L}\p{M}\p{Nd}\s]")
+_NON_WORD_TOKEN = f"{_PREFIXED_NUMBER}|{_LONE_MARK}"
 
 
 def locale_tokens(text: Column | str, language: str = "en", country: str = "CA",
                   keep_punctuation: bool = True) -> Column:
-    """Word tokens by the JVM's locale word-break rules (``sentences``), case
-    kept; optionally plus the stand-alone punctuation marks the MapReduce
-    tokenizer also counted."""
+    """Tokens by the JVM's locale word-break rules, case kept: the words
+    (``sentences``, which keeps tokens starting with a letter or digit) plus,
+    optionally, the other tokens those rules produce - punctuation marks and
+    prefixed numbers - which the MapReduce tokenizer also counted."""
     col = F.col(text) if isinstance(text, str) else text
     words = F.flatten(F.sentences(col, F.lit(language), F.lit(country)))
     if not keep_punctuation:
         return words
-    return F.concat(words, F.regexp_extract_all(col, F.lit(_LONE_PUNCT), 0))
+    return F.concat(words, F.regexp_extract_all(col, F.lit(_NON_WORD_TOKEN), 0))
 
 
 def _nfd(s: pd.Series) -> pd.Series:
