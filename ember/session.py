@@ -81,7 +81,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
-        # Local runs and tests only: a cluster names its shared folder.
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot see a driver-local folder
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local runs and tests only
         configured = tempfile.mkdtemp(prefix="ember-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
