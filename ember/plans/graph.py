@@ -25,9 +25,9 @@ reach(node, distance) AS (
   UNION
   SELECT e.destination, reach.distance + 1 FROM reach JOIN e ON e.source = reach.node
   WHERE reach.distance < {MAX_HOPS}),
-d AS (SELECT node, min(distance) AS distance FROM reach GROUP BY node),
-k AS (SELECT * FROM d WHERE distance <= (SELECT distance FROM d WHERE node = '{DST}')),
-par AS (
+d AS MATERIALIZED (SELECT node, min(distance) AS distance FROM reach GROUP BY node),
+k AS MATERIALIZED (SELECT * FROM d WHERE distance <= (SELECT distance FROM d WHERE node = '{DST}')),
+par AS MATERIALIZED (
   SELECT k.node, min(e.source) AS source FROM k
   JOIN e ON e.destination = k.node
   JOIN k p ON p.node = e.source AND p.distance = k.distance - 1
