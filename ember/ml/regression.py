@@ -68,12 +68,14 @@ def trainers(feature_cols, label_col: str, statement: str, grids=GRIDS,
 
 def best_regressor(df: DataFrame, feature_cols, label_col: str, statement: str,
                    split_key: str | None = None, seed: int = 42, grids=GRIDS,
-                   metric: str = "r2", parallelism: int = 2):
+                   metric: str = "r2", parallelism: int = 2,
+                   train_ratio: float = TRAIN_RATIO):
     """Returns ``(best_model, scores)``; ``scores`` is ``model, score, best``
     with the score on the evaluator's scale (larger is better for r2).
     Up to ``parallelism`` tuners run concurrently; all are seeded."""
     train, test = train_test_split(df, 0.75, key=split_key, seed=seed)
-    tvs_list = trainers(feature_cols, label_col, statement, grids, metric=metric, seed=seed)
+    tvs_list = trainers(feature_cols, label_col, statement, grids, train_ratio=train_ratio,
+                        metric=metric, seed=seed)
     ev = tvs_list[0][1].getEvaluator()
     sign = 1.0 if ev.isLargerBetter() else -1.0
 
