@@ -47,15 +47,22 @@ def station_ranges(obs: DataFrame, station="station", date="date",
 
 def daily_max_range(obs: DataFrame, expand_pairs: bool = True, sort: bool = True,
                     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, **cols) -> DataFrame:
-    """``date, station, range`` of the largest range per date (ties kept)."""
+    """``date, station, range`` of the largest range per date (ties kept).
+
+    ``expand_pairs=False`` returns one row per winner with its ``pairs``
+    count instead of repeating the row."""
     ranges = station_ranges(obs, **cols)
     best = ranges.groupBy("date").agg(F.max("range").alias("range"))
     side = measure(best, max_broadcast_bytes).side()
     win = ranges.join(side, ["date", "range"], "left_semi")
     if expand_pairs:
+        # more than 2^31 - 1 identical rows for one winner cannot be expanded:
+        # fail loudly (the compact form keeps the count) rather than wrap
+        n = F.when(F.col("pairs") <= F.lit(2147483647), F.col("pairs").cast("int")) \
+            .otherwise(F.raise_error(F.lit("pair count too large to expand; "
+                                           "use expand_pairs=False")))
         win = win.select("date", "station", "range",
-                         F.explode(F.array_repeat(F.lit(1), F.col("pairs").cast("int")))
-                         .alias("_k")).drop("_k")
+                         F.explode(F.array_repeat(F.lit(1), n)).alias("_k")).drop("_k")
     else:
         win = win.select("date", "station", "range", "pairs")
     return win.orderBy("date", "station") if sort else win
