@@ -90,5 +90,7 @@ def daily_max_range_sql(spark: SparkSession, obs: DataFrame, sort: bool = True)
         best AS (SELECT date, max(range) AS range FROM ranges GROUP BY date)
         SELECT r.date, r.station, r.range
         FROM ranges r LEFT SEMI JOIN best b ON r.date = b.date AND r.range = b.range
-        LATERAL VIEW explode(array_repeat(1, CAST(r.pairs AS INT))) k AS _k
+        LATERAL VIEW explode(array_repeat(1, CASE WHEN r.pairs <= 2147483647
+            THEN CAST(r.pairs AS INT)
+            ELSE raise_error('pair count too large to expand') END)) k AS _k
         {order}""", recordings=obs)
