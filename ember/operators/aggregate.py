@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fmt import json_pair
-from .joins import DEFAULT_BROADCAST_BYTES, measure
+from .joins import DEFAULT_BROADCAST_BYTES, measure, salted_join
 
 
 def _c(x):
@@ -46,7 +46,8 @@ def positive_averages(df: DataFrame, key: str, score: str) -> DataFrame:
 def relative_score(df: DataFrame, key: str, score: str, author: str,
                    broadcast: bool = False, digits: int | None = None,
                    sort: bool = True,
-                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                   salt_buckets: int | None = None) -> DataFrame:
     """Each row's score divided by its key's mean score; keys with a mean
     <= 0 are dropped (in both join modes). Returns ``relative_score, author``
     sorted by relative score, descending.
@@ -55,11 +56,18 @@ def relative_score(df: DataFrame, key: str, score: str, author: str,
     runtime broadcast chosen by AQE from measured sizes). ``broadcast=True``
     materialises the per-key means, measures them and broadcasts them when
     within ``max_broadcast_bytes``; otherwise it falls back to a shuffle join
-    (AQE splits skewed keys)."""
+    (AQE splits skewed keys). ``salt_buckets`` salts a shuffle join
+    explicitly instead (a hot key spread over that many tasks)."""
     avgs = positive_averages(df, key, score)
+    facts = df.select(key, score, author)
+    small = False
     if broadcast:
-        avgs = measure(avgs, max_broadcast_bytes).side()
-    joined = df.select(key, score, author).join(avgs, key)
+        m = measure(avgs, max_broadcast_bytes)
+        avgs, small = m.side(), m.small
+    if salt_buckets and not small:
+        joined = salted_join(facts, avgs, [key], salt_buckets)
+    else:
+        joined = facts.join(avgs, key)
     rel = F.col(score) / F.col("avg_score")
     if digits is not None:
         rel = F.round(rel, digits)

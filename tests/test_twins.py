@@ -47,3 +47,16 @@ def test_argmax_equals_top_when_no_ties(spark):
     a = argmax_per_group(ev, "hour", "value", keep=["event_id"])
     b = top_per_group(ev, "hour", "value", keep=["event_id"])
     assert rows_of(a) == rows_of(b)
+
+
+def test_salted_relative_score_equals_plain_under_skew(spark):
+    # one subreddit holds most rows
+    rows = [("hot", float(i % 7 + 1), f"a{i}") for i in range(300)] + \
+           [("cold", float(i + 1), f"b{i}") for i in range(20)]
+    c = spark.createDataFrame(rows, "subreddit string, score double, author string")
+    plain = agg.relative_score(c, "subreddit", "score", "author")
+    salted = agg.relative_score(c, "subreddit", "score", "author", salt_buckets=8)
+    assert rows_of(plain) == rows_of(salted)
+    forced = agg.relative_score(c, "subreddit", "score", "author", broadcast=True,
+                                max_broadcast_bytes=1, salt_buckets=8)
+    assert rows_of(plain) == rows_of(forced)
