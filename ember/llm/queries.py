@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprint, mixture, near_dup, quality
+from . import exact_dedup, fingerprint, mixture, near_dup, quality, token_count
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +59,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_quality_classifier")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("byte_bpe_50k.json"))
