@@ -12,8 +12,8 @@ Only connectivity is asked for, so a bucket never emits all its pairs. Its
 members are first paired with one leader. Where a bucket then still holds
 several components, members of different components meet: as untested pairs
 in a small bucket, and in a large one block against block inside tasks, where
-signatures are compared in memory and only pairs that pass the pruning are
-emitted. No candidate pair that could join two components stays untested.
+signatures and then shingle sets are compared in memory and only a spanning
+forest of confirmed links is emitted. No candidate pair that could join two components stays untested.
 
 Defined results: a null text is empty; a text without words has an empty set
 and is linked with nothing; fewer words than ``k`` give one shingle of all
@@ -138,27 +138,65 @@ def _passes(left: np.ndarray, right: np.ndarray, stops, batch: int):
     return i, j
 
 
-def block_survivors(members: DataFrame, threshold: float, miss: float, n_hashes: int, batch: int,
-                    percent: int, block: int) -> DataFrame:
-    """Surviving pairs between different components of each large bucket.
-
-    ``members``: key, node, label, n_shingles, sig, c (bucket size). A bucket
-    is cut into blocks of about ``block`` members and every two blocks meet in
-    one task, so a task holds two blocks whatever the bucket's size."""
+def _confirm(i, j, roots, flat, at, sizes, nodes, percent):
+    """Exactly confirmed links among candidate rows (i, j), no more than a
+    spanning forest of what they join. ``flat``/``at`` are the rows' sets as
+    indexes into the block's distinct shingles."""
+    root = {r: r for r in roots.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    links = []
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    mark = np.zeros(int(flat.max()) + 1 if len(flat) else 1, np.int32)
+    cuts = np.flatnonzero(np.diff(i, prepend=-1))
+    for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(i)]):
+        row, own = int(i[lo]), find(int(roots[i[lo]]))
+        others = np.array([o for o in j[lo:hi].tolist() if find(int(roots[o])) != own], np.int64)
+        if not len(others):
+            continue
+        mine = flat[at[row]:at[row + 1]]
+        mark[mine] = 1
+        lengths = sizes[others]
+        spans = np.repeat(at[others] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
+        hits = mark[flat[spans + np.arange(int(lengths.sum()))]]
+        common = np.add.reduceat(hits, np.concatenate(([0], np.cumsum(lengths)[:-1])))
+        mark[mine] = 0
+        for o in others[100 * common >= percent * (sizes[row] + lengths - common)].tolist():
+            x, y = find(int(roots[row])), find(int(roots[o]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                links.append((int(nodes[row]), int(nodes[o])))
+    return links
+
+
+def block_links(members: DataFrame, threshold: float, miss: float, n_hashes: int, batch: int,
+                percent: int, block: int) -> DataFrame:
+    """Confirmed links between different components of each large bucket.
+
+    ``members``: key, node, label, sig, shingles, c (bucket size). A bucket is
+    cut into blocks of about ``block`` members and every two blocks meet in
+    one task, so a task holds two blocks whatever the bucket's size. The
+    signatures are pruned and the shingle sets compared there, and a task
+    emits at most a spanning forest of its members."""
     agree = threshold + (1 - threshold) / 256
     stops = [(n, least_matches(n, agree, miss)) for n in range(batch, n_hashes + 1, batch)]
 
     def compare(frame):
         sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(len(frame), n_hashes)
-        node, label, size = (frame[c].to_numpy() for c in ("node", "label", "n_shingles"))
+        node, label = frame["node"].to_numpy(), frame["label"].to_numpy()
+        size = frame["shingles"].map(len).to_numpy() // 8
         first = frame["blk"].to_numpy() == frame["i"].iloc[0]
         names, counts = np.unique(label, return_counts=True)
         main = names[counts.argmax()]
-        same = frame["i"].iloc[0] == frame["j"].iloc[0]
         left = np.flatnonzero(first)
-        right = left if same else np.flatnonzero(~first)
+        right = left if frame["i"].iloc[0] == frame["j"].iloc[0] else np.flatnonzero(~first)
+        rows, cols = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         # at least one side is outside the commonest component
-        out = []
         for u, v in ((left[label[left] != main], right),
                      (left[label[left] == main], right[label[right] != main])):
             if len(u) and len(v):
@@ -166,16 +204,20 @@ def block_survivors(members: DataFrame, threshold: float, miss: float, n_hashes:
                 p, q = u[i], v[j]
                 fit = (label[p] != label[q]) & (100 * np.minimum(size[p], size[q])
                                                 >= percent * np.maximum(size[p], size[q]))
-                out.append(np.stack((np.minimum(node[p[fit]], node[q[fit]]),
-                                     np.maximum(node[p[fit]], node[q[fit]]))))
-        pairs = np.unique(np.concatenate(out, 1), axis=1) if out else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+                rows.append(p[fit])
+                cols.append(q[fit])
+        i, j = np.concatenate(rows), np.concatenate(cols)
+        links = []
+        if len(i):
+            _, flat = np.unique(np.frombuffer(b"".join(frame["shingles"]), np.uint64), return_inverse=True)
+            links = _confirm(i, j, label, flat, np.concatenate(([0], np.cumsum(size))), size, node, percent)
+        return pd.DataFrame({"a": [min(x) for x in links], "b": [max(x) for x in links]}, dtype="int64")
 
     n_blocks = F.ceil(F.col("c") / block).cast("int")
     blocks = (members.withColumn("blk", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
               .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")))
-    return (blocks.select("key", "i", "j", "blk", "node", "label", "n_shingles", "sig")
+    return (blocks.select("key", "i", "j", "blk", "node", "label", "sig", "shingles")
             .groupBy("key", "i", "j").applyInPandas(compare, "a long, b long"))
 
 
@@ -212,15 +254,16 @@ def exact_filter(pairs: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     percent: int = 80, bands: int = 32, rows: int = 5, batch: int = 32,
-                    miss: float = 1e-6, small_bucket: int = 64, block: int = 512,
-                    broadcast_bytes: int = 32 << 20) -> DataFrame:
+                    miss: float = 1e-6, small_bucket: int = 64, block: int = 2048,
+                    broadcast_bytes: int = 32 << 20, broadcast_ids: int = 1 << 21) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     A pair at the threshold is missed by the bands with probability
     (1 - 0.8 ** rows) ** bands (about 3e-6 here) and by the pruning with at
     most about ``miss`` per batch. ``small_bucket`` and ``block`` only choose
-    where the pairs of a bucket are compared, ``broadcast_bytes`` bounds the
-    measured shingle sets that may be broadcast for the exact check."""
+    where the pairs of a bucket are compared. ``broadcast_bytes`` bounds the
+    measured shingle sets, ``broadcast_ids`` the counted ids that may be
+    broadcast for the exact check; beyond them the joins shuffle."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialize(signatures(docs, k, bands, rows), "nd-signatures")
     classes = materialize(signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
@@ -238,9 +281,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 .select("a", "b", "sig_a", "sig_b"))
         return bayes_filter(both, percent / 100, miss, bands * rows, batch)
 
+    def sets_of(ends: DataFrame) -> DataFrame:
+        ends = materialize(ends.distinct(), "nd-ends")
+        ends = F.broadcast(ends) if ends.count() <= broadcast_ids else ends
+        return materialize(shingle_table(docs.join(ends, "doc_id", "left_semi"), k), "nd-sets")
+
     def verified(alive: DataFrame) -> DataFrame:
-        ends = alive.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = materialize(shingle_table(docs.join(ends, "doc_id", "left_semi"), k), "nd-sets")
+        sets = sets_of(alive.select(F.col("a").alias("doc_id")).unionAll(alive.select("b")))
         size = sets.agg(F.sum(F.length("shingles"))).first()[0] or 0
         sets = F.broadcast(sets) if size <= broadcast_bytes else sets
         return materialize(exact_filter(
@@ -264,11 +311,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     few, many = at.filter(F.col("c") <= small_bucket), at.filter(F.col("c") > small_bucket)
     met = ordered(few.join(few.select("key", F.col("node").alias("q"), F.col("label").alias("m")), "key")
                   .filter("label <> m AND node < q").select(F.col("node").alias("p"), "q"))
-    met = survivors(met.join(tested, ["a", "b"], "left_anti"))
-    dense = block_survivors(many.join(nodes.select("node", "n_shingles", "sig"), "node"), percent / 100, miss,
-                            bands * rows, batch, percent, block)
-    more = verified(materialize(met.unionAll(dense.join(tested, ["a", "b"], "left_anti")).distinct(),
-                                "nd-survivors"))
+    more = verified(materialize(survivors(met.join(tested, ["a", "b"], "left_anti")), "nd-survivors"))
+    if not many.isEmpty():
+        sets = sets_of(many.select(F.col("node").alias("doc_id")))
+        more = materialize(more.unionAll(block_links(
+            many.join(signature_of, "node").join(sets, "node"), percent / 100, miss, bands * rows, batch, percent,
+            block)), "nd-links")
     if not more.isEmpty():
         labels = components(links.unionAll(more))
     found = classes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("label"))
