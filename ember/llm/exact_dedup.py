@@ -2,11 +2,11 @@
 
 A manifest holds one row per text: its digest, id and content locator (file
 and row of the scan). A Structured Streaming query reads the manifest file by
-file; per digest a RocksDB state row, which never expires, retains the digest,
-the stable identifier of the row that stays, its locator and the number of
-texts seen. Every task first combines the rows of a batch by digest, so a hot
-text reaches its state as a few rows. The state changes go to a Parquet sink
-with exactly-once commits; a restarted query goes on from its checkpoint.
+file; per digest a RocksDB state row, which never expires, retains the
+digest, the stable identifier of the row that stays, its locator and the
+number of texts seen. Every task first combines the rows of a batch by digest,
+so a hot text reaches its state as a few rows. A restarted query goes on from
+its checkpoint, and the groups are read from the state itself.
 
 Wherever the state was hit, the full bytes of the texts are compared. Digests
 whose texts differ are split by their bytes, so the result does not rest on
@@ -22,20 +22,21 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .common import materialize, scratch_path
 
 NO_ID = -(1 << 63)  # stands for a null id inside the state
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Disk-backed state; many small stores, so none reserves disk ahead.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 MANIFEST = "doc_id long, file long, at long, sha binary"
-STATE = "group_size long, keep_id long, keep_file long, keep_at long"
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -71,51 +72,34 @@ def manifest(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(batches, MANIFEST)
 
 
-def _combine(it):
-    """Per batch and key: rows seen and the row that would stay."""
-    for frame in it:
-        frame = frame.sort_values(["id", "file", "at"], ascending=[False, True, True], kind="stable")
-        sizes = frame.groupby("key")["id"].size()
-        first = frame.drop_duplicates("key")
-        yield pd.DataFrame({"key": first["key"], "group_size": first["key"].map(sizes), "keep_id": first["id"],
-                            "keep_file": first["file"], "keep_at": first["at"]})
-
-
-def _update(key, frames, state: GroupState):
-    kept = state.get if state.exists else (0, NO_ID, 0, 0)
-    size, best = kept[0], kept[1:] if kept[0] else None
-    for frame in frames:
-        size += int(frame["group_size"].sum())
-        for row in frame[["keep_id", "keep_file", "keep_at"]].itertuples(index=False, name=None):
-            row = tuple(int(v) for v in row)
-            if best is None or row[0] > best[0] or row[0] == best[0] and row[1:] < best[1:]:
-                best = row
-    state.update((size, *best))
-    yield pd.DataFrame([(key[0], size, *best)], columns=["key", "group_size", "keep_id", "keep_file", "keep_at"])
-
-
 def stream_groups(spark: SparkSession, manifest_path: str, digest_bytes: int, triggers: int) -> DataFrame:
-    """Run the stream to the end of the manifest; (key, state) of every digest."""
+    """Run the stream to the end of the manifest, then read its state:
+    (key, group_size, keep_id, keep_file, keep_at) of every digest."""
     files = len(spark.read.parquet(manifest_path).inputFiles())
-    out, checkpoint = scratch_path(spark, "dedup-state"), scratch_path(spark, "dedup-stream")
-    rows = (spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", max(1, -(-files // triggers)))
-            .parquet(manifest_path)
-            .select(F.substring("sha", 1, digest_bytes).alias("key"),
-                    F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "file", "at"))
-    changes = (rows.mapInPandas(_combine, f"key binary, {STATE}")
-               .groupBy("key").applyInPandasWithState(_update, f"key binary, {STATE}", STATE, "append",
-                                                      GroupStateTimeout.NoTimeout))
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    checkpoint = scratch_path(spark, "dedup-stream")
+    kept = F.max(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.bitwise_not("file").alias("f"),
+                          F.bitwise_not("at").alias("a")))
+    groups = (spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", max(1, -(-files // triggers)))
+              .parquet(manifest_path).groupBy(F.substring("sha", 1, digest_bytes).alias("key"))
+              .agg(kept.alias("best"), F.count("*").alias("group_size")))
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     try:
-        run = (changes.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-               .option("path", out).option("checkpointLocation", checkpoint).start())
+        run = (groups.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
+               .option("checkpointLocation", checkpoint).start())
         run.awaitTermination()
+        state = spark.read.format("statestore").load(checkpoint)
+        best, size = state.schema["value"].dataType.names
+        best = F.col("value")[best]
+        digest = state.schema["key"].dataType.names[0]
+        groups = state.select(F.col("key")[digest].alias("key"), F.col("value")[size].alias("group_size"),
+                              best["id"].alias("keep_id"), F.bitwise_not(best["f"]).alias("keep_file"),
+                              F.bitwise_not(best["a"]).alias("keep_at"))
+        return materialize(groups, "dedup-groups")
     finally:
-        spark.conf.set(PROVIDER, before)
-    last = F.max(F.struct("group_size", "keep_id", "keep_file", "keep_at")).alias("last")
-    return (spark.read.schema(f"key binary, {STATE}").parquet(out).groupBy("key").agg(last)
-            .select("key", "last.*"))
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = 32,
@@ -131,7 +115,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", di
     path = scratch_path(spark, "dedup-manifest")
     manifest(texts).write.parquet(path)
     rows = spark.read.parquet(path).withColumn("key", F.substring("sha", 1, digest_bytes))
-    groups = materialize(stream_groups(spark, path, digest_bytes, triggers), "dedup-groups")
+    groups = stream_groups(spark, path, digest_bytes, triggers)
 
     # the full bytes of every text whose digest was hit
     hits = materialize(rows.join(groups.filter("group_size > 1").select("key"), "key").select("file", "at", "key"),
