@@ -40,7 +40,7 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows_per_task: int = 1 << 19) -> DataFrame:
     """Smallest node reachable from every node of ``edges`` (a, b): (node, label).
 
     ``edges`` should be a written table: every round reads it.
@@ -48,20 +48,27 @@ def components(edges: DataFrame) -> DataFrame:
     the least label among its neighbours, then the label of its label, so a
     chain of n links needs about log n rounds. A hub's neighbours only meet in
     a ``min`` with map-side combine. Each round is written to the shared
-    checkpoint folder, so a lost executor re-reads one round, and only a count
-    reaches the driver. No edges give no rows."""
-    both = edges.select(F.col("a").alias("s"), F.col("b").alias("d")).unionAll(
-        edges.select(F.col("b").alias("s"), F.col("a").alias("d")))
-    labels = materialize(both.groupBy(F.col("s").alias("node")).agg(
-        F.least(F.col("s"), F.min("d")).alias("label")), "cc-start")
+    checkpoint folder, so a lost executor re-reads one round, and only counts
+    reach the driver. Up to ``rows_per_task`` links are one task's work and
+    are not shuffled; more are dealt out as the session has it. No edges give
+    no rows."""
+    small = edges.count() <= rows_per_task
+
+    def held(frame: DataFrame) -> DataFrame:
+        return frame.coalesce(1) if small else frame
+
+    both = held(edges.select(F.col("a").alias("s"), F.col("b").alias("d")).unionAll(
+        edges.select(F.col("b").alias("s"), F.col("a").alias("d"))))
+    labels = held(materialize(both.groupBy(F.col("s").alias("node")).agg(
+        F.least(F.col("s"), F.min("d")).alias("label")), "cc-start"))
     while True:
         spread = (both.join(labels.select(F.col("node").alias("s"), "label"), "s")
                   .groupBy(F.col("d").alias("node")).agg(F.min("label").alias("near")))
         met = (labels.join(spread, "node")
                .select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        step = materialize(met.join(jump, "label").select(
-            "node", "old", F.least("label", "far").alias("label")), "cc-round")
+        step = held(materialize(met.join(jump, "label").select(
+            "node", "old", F.least("label", "far").alias("label")), "cc-round"))
         labels = step.select("node", "label")
         if step.filter("label <> old").isEmpty():
             return labels

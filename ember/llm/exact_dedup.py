@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,20 +38,21 @@ STATE_CONF = {
 MANIFEST = "doc_id long, file long, at long, sha binary"
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with a stable content locator (__file, __at) for every row.
+def stored(docs: DataFrame) -> DataFrame:
+    """``docs`` as a plain file scan, whose rows have stable locators; any
+    other frame is written once."""
+    plan = docs._jdf.queryExecution().analyzed()
+    return docs if plan.getClass().getSimpleName() == "LogicalRelation" and docs.inputFiles() else materialize(
+        docs, "stored")
+
 
-    A plain file scan has one; any other frame is written once to get it."""
-    for frame in (docs, None):
-        frame = materialize(docs, "located") if frame is None else frame
-        try:
-            meta = frame.metadataColumn("_metadata")
-            return frame.select(F.xxhash64(meta["file_path"]).alias("__file"), meta["row_index"].alias("__at"),
-                                *(frame[c] for c in frame.columns))
-        except AnalysisException:
-            if frame is not docs:
-                raise
-    raise AssertionError("unreachable")
+def located(docs: DataFrame) -> DataFrame:
+    """``docs`` with a stable content locator (__file, __at) for every row. To
+    join two results by locator give both the same ``stored`` frame."""
+    docs = stored(docs)
+    meta = docs.metadataColumn("_metadata")
+    return docs.select(F.xxhash64(meta["file_path"]).alias("__file"), meta["row_index"].alias("__at"),
+                       *(docs[f"`{c}`"] for c in docs.columns))
 
 
 def _bodies(column) -> list[bytes]:
@@ -161,6 +161,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", di
 
 def kept_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    docs = stored(docs)
     dropped = dedup(docs, **options).filter("NOT kept").select(
         F.col("file").alias("__file"), F.col("at").alias("__at"))
     return located(docs).join(dropped, ["__file", "__at"], "left_anti").select(

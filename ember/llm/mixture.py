@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, union_all
-from .exact_dedup import NO_ID, located
+from .exact_dedup import NO_ID, located, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -160,6 +160,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each repeated as often as the mix takes it."""
+    docs = stored(docs)
     taken = mix(docs, **options).filter("copies > 0").select(
         F.col("file").alias("__file"), F.col("at").alias("__at"), F.col("copies").alias("__copies"))
     return (located(docs).join(taken, ["__file", "__at"])

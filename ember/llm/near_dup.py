@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import binary_column, components, fixed_binary, materialize
+from .exact_dedup import located, stored
 from .words import mix, shingle_sets
 
-SIGNATURE_SCHEMA = "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary"
+SIGNATURE_SCHEMA = ("doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary, "
+                    "file long, at long")
 
 
 def _coefficients(n: int):
@@ -52,7 +54,7 @@ def _set_keys(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, set size, set key, band keys and one byte of each minimum hash."""
+    """(doc_id, text, file, at) -> doc_id, set size, set key, band keys and one byte of each minimum hash."""
     n_hashes = bands * rows
     mul, add = _coefficients(n_hashes)
 
@@ -79,7 +81,8 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                     ids.slice(lo, hi - lo), pa.array(sizes), fixed_binary(_set_keys(h, at)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64))),
                     fixed_binary((low >> np.uint32(11)).astype(np.uint8)),
-                ], names=["doc_id", "n_shingles", "set_key", "bands", "sig"])
+                    batch.column(2).slice(lo, hi - lo), batch.column(3).slice(lo, hi - lo),
+                ], names=["doc_id", "n_shingles", "set_key", "bands", "sig", "file", "at"])
 
     return docs.mapInArrow(batches, SIGNATURE_SCHEMA)
 
@@ -256,7 +259,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     percent: int = 80, bands: int = 32, rows: int = 5, batch: int = 32,
                     miss: float = 1e-6, small_bucket: int = 64, block: int = 2048,
                     broadcast_bytes: int = 32 << 20, broadcast_ids: int = 1 << 21) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+    """One row per input row: doc_id, n_shingles, component_id, kept and the
+    row's content locator (file, at).
 
     A pair at the threshold is missed by the bands with probability
     (1 - 0.8 ** rows) ** bands (about 3e-6 here) and by the pruning with at
@@ -264,7 +268,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     where the pairs of a bucket are compared. ``broadcast_bytes`` bounds the
     measured shingle sets, ``broadcast_ids`` the counted ids that may be
     broadcast for the exact check; beyond them the joins shuffle."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = located(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                                F.col("__file").alias("file"), F.col("__at").alias("at"))
     signed = materialize(signatures(docs, k, bands, rows), "nd-signatures")
     classes = materialize(signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
                           .groupBy("set_key").agg(F.min("doc_id").alias("node")), "nd-classes")
@@ -321,8 +326,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         labels = components(links.unionAll(more))
     found = classes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("label"))
     plain = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    return (signed.select("doc_id", "n_shingles", F.when(~plain, F.col("set_key")).alias("set_key"))
+    return (signed.select("doc_id", "n_shingles", F.when(~plain, F.col("set_key")).alias("set_key"), "file", "at")
             .join(found, "set_key", "left")
-            .select("doc_id", "n_shingles",
+            .select("file", "at", "doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def kept_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that stay, one per group, with all their columns."""
+    docs = stored(docs)
+    dropped = near_duplicates(docs, **options).filter("NOT kept").select(
+        F.col("file").alias("__file"), F.col("at").alias("__at"))
+    return located(docs).join(dropped, ["__file", "__at"], "left_anti").select(
+        *(F.col(f"`{c}`") for c in docs.columns))

@@ -151,9 +151,8 @@ OUTPUTS = {"ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa
 
 
 def encoded(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",
-            outputs: bool = True, block_rows: int = 2048, buckets: int | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row, and with
-    ``outputs`` also ids and decoded.
+            outputs: tuple[str, ...] = ("ids", "decoded"), block_rows: int = 2048, buckets: int | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and ``outputs`` for every row.
 
     A block is at most ``block_rows`` neighbouring rows of a file; ``buckets``
     (twice the session's shuffle partitions) divide the table of chunks."""
@@ -163,7 +162,7 @@ def encoded(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         F.xxhash64("__file", F.floor(F.col("__at") / F.lit(block_rows))).alias("block"),
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     table = segment(packed_chunks(rows, buckets or 2 * shuffle_width(spark)), path)
-    columns = {**DIGESTS, **OUTPUTS} if outputs else DIGESTS
+    columns = DIGESTS | {name: OUTPUTS[name] for name in outputs}
 
     def join(texts: pa.Table, answers: pa.Table) -> pa.Table:
         model = load(path)
@@ -186,9 +185,8 @@ def encoded(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
                 out["n_tokens"].append(len(whole))
                 out["ids_sha256"].append(hashlib.sha256(",".join([written[i] for i in at]).encode()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                if outputs:
-                    out["ids"].append(whole)
-                    out["decoded"].append(decoded)
+                for name in outputs:
+                    out[name].append(whole if name == "ids" else decoded)
         return pa.table({name: pa.array(out[name], kind) for name, (_, kind) in columns.items()})
 
     schema = ", ".join(f"{name} {kind}" for name, (kind, _) in columns.items())

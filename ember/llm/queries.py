@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprint, mixture, near_dup, pieces, quality, repeats, token_count, warc
+from . import exact_dedup, fingerprint, line_dedup, mixture, near_dup, pieces, quality, repeats, token_count, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +30,8 @@ def query(name: str, oracle: str | None = None):
 
 @query("op8_minhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4)
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op5_document_fingerprints")
@@ -70,7 +72,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sentencepiece_round_trip")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
-                          outputs=False)
+                          outputs=())
 
 
 @query("op7_suffix_array_dedup")
@@ -81,3 +83,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_warc_capture_index")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op6_fuzzy_line_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
