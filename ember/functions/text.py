@@ -1,8 +1,8 @@
 """Text functions: word splitting, Java-style tokens, Unicode NFD.
 
-All splitting is a JVM regular expression inside the plan; only NFD output
-needs Python (Spark has no normalisation function), and it runs as an Arrow
-``pandas_udf`` on *distinct* words, never per token.
+All splitting is a JVM regular expression inside the plan; only Unicode normal
+forms need Python (Spark has no normalisation function), as an Arrow
+``pandas_udf`` on *distinct* words that are not ASCII, never per token.
 """
 
 from __future__ import annotations
@@ -45,66 +45,57 @@ def _class_body() -> str:
 WORD_SEPARATOR = "[" + _class_body() + "]+"
 
 
-def split_words(text: Column | str) -> Column:
-    """Lower-case, then split on runs of punctuation or whitespace; empty
-    strings (leading/trailing separators) are removed."""
-    return F.filter(split_raw(text), lambda w: w != "")
-
-
 def split_raw(text: Column | str) -> Column:
-    """As ``split_words`` but keeping the empty strings a leading or trailing
-    separator yields; exploding this and filtering ``<> ''`` afterwards keeps
-    the whole step in generated code."""
+    """Lower-case, then split on runs of punctuation or whitespace. A leading
+    or trailing separator yields an empty string; exploding this and filtering
+    ``<> ''`` afterwards keeps the whole step in generated code."""
     return F.split(F.lower(F.col(text) if isinstance(text, str) else text), WORD_SEPARATOR)
 
 
-# Fixed values (the JVM's word-break rules, as observed on java.text.BreakIterator):
-# characters that join two letters into one word, characters that join two
-# digits into one number, characters that end a number, and characters that
-# start a number.
-MID_LETTER = "\"'-._"
-MID_NUMBER = "\"',."
-NUMBER_SUFFIX = "%&"
-NUMBER_PREFIX = "#$."
-
-
-def _cls(chars: str) -> str:
-    return "[" + "".join("\\" + c for c in chars) + "]"
-
-
-# Tokens the word rules produce that do not start with a letter or digit (so
-# ``sentences`` drops them): a number led by a prefix character (``$12``,
-# ``.09``), or a single non-space character that does not join a word.
-_LETTER, _DIGIT = r"[\p{L}\p{M}]", r"\p{Nd}"
-_PREFIXED_NUMBER = (f"(?:[#$]|(?<!{_DIGIT})\\.){_DIGIT}+"
-                    f"(?:{_cls(MID_NUMBER)}{_DIGIT}+)*{_cls(NUMBER_SUFFIX)}?")
-_LONE_MARK = (f"(?!(?<={_LETTER}){_cls(MID_LETTER)}(?={_LETTER}))"
-              f"(?!(?<={_DIGIT}){_cls(MID_NUMBER)}(?={_DIGIT}))"
-              f"(?!(?<={_DIGIT}){_cls(NUMBER_SUFFIX)})"
-              r"[^\p{L}\p{M}\p{Nd}\s]")
-_NON_WORD_TOKEN = f"{_PREFIXED_NUMBER}|{_LONE_MARK}"
-
-
-def locale_tokens(text: Column | str, language: str = "en", country: str = "CA",
-                  keep_punctuation: bool = True) -> Column:
-    """Tokens by the JVM's locale word-break rules, case kept: the words
-    (``sentences``, which keeps tokens starting with a letter or digit) plus,
-    optionally, the other tokens those rules produce - punctuation marks and
-    prefixed numbers - which the MapReduce tokenizer also counted."""
+# Fixed values (the JVM's word-break rules, as observed on java.text.BreakIterator),
+# written without look-around so that Java and RE2 read them alike: signs that
+# join two letters, that join two digits, that lead a number (currency signs
+# but the cent, # and .) and that end one; marks and format signs stay with
+# the letter or digit before them.
+_MARKS = r"[\p{Mn}\p{Me}\p{Cf}]*"
+_LETTER = rf"(?:[\p{{L}}\p{{Mc}}]{_MARKS})"
+_DIGIT = rf"(?:\p{{N}}{_MARKS})"
+_MID_LETTER = rf"(?:[\p{{Pd}}\p{{Pc}}\"'.\x{{ad}}\x{{2027}}]{_MARKS})"
+_MID_NUMBER = rf"(?:[\"',.\x{{66b}}]{_MARKS})"
+_CURRENCY = "".join(f"\\x{{{c:x}}}" for c in range(0x110000)
+                    if unicodedata.category(chr(c)) == "Sc" and c != 0xA2)
+_PREFIX = f"[#.{_CURRENCY}]"
+_SUFFIX = r"[%&\x{a2}\x{2030}\x{66a}]"
+_WORD = f"{_LETTER}+(?:{_MID_LETTER}{_LETTER}+)*"
+_NUMBER = f"{_DIGIT}+(?:{_MID_NUMBER}{_DIGIT}+)*"
+
+# One left-to-right alternation: a word with the numbers and words glued to
+# it, the same led by a number, a number alone, a stray mark, any other sign.
+LOCALE_TOKEN = "|".join([
+    f"{_WORD}(?:{_NUMBER}{_WORD})*(?:{_NUMBER}{_SUFFIX}?)?",
+    f"{_PREFIX}?(?:{_NUMBER}{_WORD})+(?:{_NUMBER}{_SUFFIX}?)?",
+    f"{_PREFIX}?{_NUMBER}{_SUFFIX}?",
+    r"[\p{Mn}\p{Me}\p{Cf}]",
+    rf"[^\s\p{{Z}}\x{{1c}}-\x{{1f}}\x{{85}}]{_MARKS}",
+])
+
+
+def locale_tokens(text: Column | str, keep_punctuation: bool = True) -> Column:
+    """Tokens by the JVM's word-break rules (English), case kept: words,
+    numbers and, unless told otherwise, every other sign that is not space."""
     col = F.col(text) if isinstance(text, str) else text
-    words = F.flatten(F.sentences(col, F.lit(language), F.lit(country)))
-    if not keep_punctuation:
-        return words
-    return F.concat(words, F.regexp_extract_all(col, F.lit(_NON_WORD_TOKEN), 0))
-
+    tokens = F.regexp_extract_all(col, F.lit(LOCALE_TOKEN), 0)
+    return tokens if keep_punctuation else F.filter(tokens, lambda t: t.rlike(r"[\p{L}\p{N}]"))
 
-def _nfd(s: pd.Series) -> pd.Series:
-    return s.map(lambda w: None if w is None else unicodedata.normalize("NFD", w))
 
+def normaliser(form: str = "NFD"):
+    """Arrow UDF for a Unicode normal form (NFC, NFD, NFKC, NFKD)."""
+    def convert(s: pd.Series) -> pd.Series:
+        return s.map(lambda w: None if w is None else unicodedata.normalize(form, w))
 
-nfd = F.pandas_udf(_nfd, T.StringType())
-nfd.__doc__ = "Unicode canonical decomposition (NFD) of a string column."
+    return F.pandas_udf(convert, T.StringType())
 
 
 def is_ascii(col: Column) -> Column:
-    return col.rlike(r"^[\x00-\x7F]*$")
+    """ASCII text, which every normal form leaves as it is."""
+    return F.octet_length(col) == F.length(col)

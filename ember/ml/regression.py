@@ -1,106 +1,107 @@
-"""Regressor comparison with train-validation splits over parameter grids.
-
-For each estimator: a pipeline ``SQLTransformer -> VectorAssembler ->
-estimator`` tuned by ``TrainValidationSplit`` on the training rows; every
-tuned model is scored on the test rows and the best by the evaluator's
-metric is returned with the score table.
+"""Choice of a regressor: every candidate's grid is searched by a
+train-validation split of the training rows, the tuned models are scored on
+the test rows, and the scores come back as a frame with the best one marked.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import regression as R
+from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .split import train_test_split
 
-# The reference's estimators and grids (every entry a list).
-GRIDS = [
-    (DecisionTreeRegressor, dict(maxDepth=[10], minInstancesPerNode=[2], minInfoGain=[0.5])),
-    (LinearRegression, dict(regParam=[0.5], elasticNetParam=[0.1], aggregationDepth=[10],
-                            tol=[0.000008], maxIter=[100])),
-    (RandomForestRegressor, dict(featureSubsetStrategy=["onethird"], minInfoGain=[0.1])),
-    (GBTRegressor, dict(maxIter=[30], maxDepth=[10])),
+
+@dataclass(frozen=True)
+class Candidate:
+    """A regressor class and the values to try for some of its parameters."""
+    kind: type
+    grid: dict[str, list] = field(default_factory=dict)
+
+    @property
+    def name(self) -> str:
+        return self.kind.__name__
+
+    def tuner(self, prepare: list, evaluator: Evaluator, train_ratio: float, seed: int) -> TrainValidationSplit:
+        model = self.kind(featuresCol="features", labelCol=evaluator.getLabelCol())
+        if model.hasParam("seed"):
+            model.setSeed(seed)
+        search = ParamGridBuilder()
+        for param, values in self.grid.items():
+            search.addGrid(model.getParam(param), values)
+        return TrainValidationSplit(estimator=Pipeline(stages=[*prepare, model]), evaluator=evaluator,
+                                    estimatorParamMaps=search.build(), trainRatio=train_ratio, seed=seed)
+
+
+# Fixed values (must equal the reference's model settings).
+CANDIDATES = [
+    Candidate(R.DecisionTreeRegressor, {"maxDepth": [10], "minInstancesPerNode": [2], "minInfoGain": [0.5]}),
+    Candidate(R.LinearRegression, {"regParam": [0.5], "elasticNetParam": [0.1], "aggregationDepth": [10],
+                                   "tol": [0.000008], "maxIter": [100]}),
+    Candidate(R.RandomForestRegressor, {"featureSubsetStrategy": ["onethird"], "minInfoGain": [0.1]}),
+    Candidate(R.GBTRegressor, {"maxIter": [30], "maxDepth": [10]}),
 ]
 TRAIN_RATIO = 0.2  # share of the training rows used to fit inside each split
 
-# Station-temperature rows: features with the day of year derived in-plan.
+# Station-temperature rows: position, elevation and day of year.
 WEATHER_FEATURES = ["latitude", "longitude", "elevation", "doy"]
-WEATHER_STATEMENT = ("SELECT station, date, dayofyear(date) AS doy, latitude, longitude, "
-                     "elevation, tmax FROM __THIS__")
-WEATHER_SCHEMA = ("station string, date date, latitude float, longitude float, "
-                  "elevation float, tmax float")
-
-
-def param_grid(estimator, grid: dict):
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        values = values if isinstance(values, (list, tuple)) else [values]
-        b = b.addGrid(estimator.getParam(name), list(values))
-    return b.build()
-
-
-def trainers(feature_cols, label_col: str, statement: str, grids=GRIDS,
-             train_ratio: float = TRAIN_RATIO, metric: str = "r2", seed: int = 42):
-    """(name, TrainValidationSplit) per estimator."""
-    names = dict(featuresCol="features", labelCol=label_col, predictionCol="prediction")
-    ev = RegressionEvaluator(labelCol=label_col, predictionCol="prediction", metricName=metric)
-    out = []
-    for cls, grid in grids:
-        est = cls(**names)
-        if est.hasParam("seed"):
-            est = est.setSeed(seed)
-        pipe = Pipeline(stages=[SQLTransformer(statement=statement),
-                                VectorAssembler(inputCols=list(feature_cols), outputCol="features"),
-                                est])
-        out.append((cls.__name__, TrainValidationSplit(
-            estimator=pipe, estimatorParamMaps=param_grid(est, grid), evaluator=ev,
-            trainRatio=train_ratio, seed=seed)))
-    return out
-
-
-def best_regressor(df: DataFrame, feature_cols, label_col: str, statement: str,
-                   split_key: str | None = None, seed: int = 42, grids=GRIDS,
+
+
+def best_regressor(df: DataFrame, feature_cols, label_col: str, statement: str | None = None,
+                   split_key: str | None = None, seed: int = 42, candidates=CANDIDATES,
                    metric: str = "r2", parallelism: int = 2,
-                   train_ratio: float = TRAIN_RATIO):
-    """Returns ``(best_model, scores)``; ``scores`` is ``model, score, best``
-    with the score on the evaluator's scale (larger is better for r2).
-    Up to ``parallelism`` tuners run concurrently; all are seeded."""
+                   train_ratio: float = TRAIN_RATIO) -> tuple[PipelineModel, DataFrame]:
+    """Returns ``(best_model, scores)``; ``scores`` is ``model, score, best``.
+
+    ``statement`` is an optional SQL stage ahead of the features. Up to
+    ``parallelism`` tuners run concurrently; all are seeded."""
+    evaluator = RegressionEvaluator(labelCol=label_col, metricName=metric)
+    prepare = [VectorAssembler(inputCols=list(feature_cols), outputCol="features")]
+    if statement:
+        prepare.insert(0, SQLTransformer(statement=statement))
     train, test = train_test_split(df, 0.75, key=split_key, seed=seed)
-    tvs_list = trainers(feature_cols, label_col, statement, grids, train_ratio=train_ratio,
-                        metric=metric, seed=seed)
-    ev = tvs_list[0][1].getEvaluator()
-    sign = 1.0 if ev.isLargerBetter() else -1.0
 
-    def fit(item):
-        name, tvs = item
-        model = tvs.fit(train)
-        return model, name, sign * float(ev.evaluate(model.transform(test)))
+    def tuned(candidate: Candidate) -> PipelineModel:
+        return candidate.tuner(prepare, evaluator, train_ratio, seed).fit(train).bestModel
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted = list(pool.map(fit, tvs_list))
-    best = max(fitted, key=lambda t: t[2])
-    train.unpersist()
-    test.unpersist()
-    rows = [(name, sign * s, name == best[1]) for _, name, s in fitted]
-    scores = df.sparkSession.createDataFrame(rows, "model string, score double, best boolean")
-    return best[0], scores
+        models = dict(zip((c.name for c in candidates), pool.map(tuned, candidates)))
+    scored = {name: float(evaluator.evaluate(model.transform(test))) for name, model in models.items()}
+    for part in (train, test):
+        part.unpersist()
+    scores = df.sparkSession.createDataFrame(list(scored.items()), "model string, score double")
+    direction = F.desc if evaluator.isLargerBetter() else F.asc
+    best = scores.orderBy(direction("score"), "model").first().model
+    return models[best], scores.withColumn("best", F.col("model") == best)
 
 
-def predictions(model, df: DataFrame, label_col: str) -> DataFrame:
+def predictions(model: PipelineModel, df: DataFrame, label_col: str) -> DataFrame:
     """Full-data predictions of a fitted model, without the feature vector."""
     return model.transform(df).drop("features").withColumn(
         "residual", F.col(label_col) - F.col("prediction"))
 
 
-def best_weather_model(df: DataFrame, seed: int = 42):
+def with_day_of_year(df: DataFrame, date: str = "date") -> DataFrame:
+    return df.withColumn("doy", F.dayofyear(date))
+
+
+def best_weather_model(df: DataFrame, split_key: str | None = None, seed: int = 42):
     """The station-temperature form: predict ``tmax`` from position,
     elevation and day of year."""
-    return best_regressor(df, WEATHER_FEATURES, "tmax", WEATHER_STATEMENT, seed=seed)
+    return best_regressor(with_day_of_year(df), WEATHER_FEATURES, "tmax", split_key=split_key, seed=seed)
+
+
+def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Ordinary least squares of y on x by MLlib: ``slope, intercept, r2``."""
+    rows = VectorAssembler(inputCols=[x], outputCol="features").transform(df.select(x, y).dropna())
+    model = R.LinearRegression(featuresCol="features", labelCol=y, regParam=0.0, solver="normal").fit(rows)
+    return df.sparkSession.createDataFrame(
+        [(float(model.coefficients[0]), float(model.intercept), float(model.summary.r2))],
+        "slope double, intercept double, r2 double")

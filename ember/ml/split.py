@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SLOTS = 10000
+
+
+def split_slot(key: str, seed: int = 42) -> Column:
+    """0 .. SLOTS - 1 from the md5 of key and seed: the same in every engine."""
+    digest = F.md5(F.concat_ws("/", F.col(key).cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % SLOTS
+
 
 def train_test_split(df: DataFrame, train_fraction: float = 0.75, key: str | None = None,
                      seed: int = 42, cache: bool = True) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of ``key`` (stable across runs and partitionings) or,
     without a key, by a seeded ``randomSplit``."""
     if key:
-        bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10000))
-        cut = int(round(train_fraction * 10000))
-        train, test = df.where(bucket < cut), df.where(bucket >= cut)
+        in_train = F.coalesce(split_slot(key, seed) < round(train_fraction * SLOTS), F.lit(True))
+        parts = [df.where(in_train), df.where(~in_train)]
     else:
-        train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
-    if cache:
-        train, test = train.cache(), test.cache()
+        parts = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
+    train, test = (p.cache() for p in parts) if cache else parts
     return train, test

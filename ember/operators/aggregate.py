@@ -72,7 +72,8 @@ def relative_score(df: DataFrame, key: str, score: str, author: str,
     if digits is not None:
         rel = F.round(rel, digits)
     out = joined.select(rel.alias("relative_score"), F.col(author).alias("author"))
-    return out.orderBy(F.desc("relative_score")) if sort else out
+    # the author breaks ties, so equal scores do not share one sort partition
+    return out.orderBy(F.desc("relative_score"), "author") if sort else out
 
 
 def host_totals(logs: DataFrame, host: str = "host", nbytes: str = "bytes") -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from ..sinks import write_snapshot
-from .joins import DEFAULT_BROADCAST_BYTES, row_width
+from .joins import DEFAULT_BROADCAST_BYTES, row_bytes
 from .partitioning import spread
 
 KNOWN_SCHEMA = T.StructType([
@@ -86,7 +86,7 @@ def _search(edges, src, dst, max_hops, max_broadcast_bytes, snapshot_dir,
     if materialize_edges:
         e = materialize(spread(e), "bfs_edges")
     levels = [frontier]
-    size, found = 1, False
+    size, found = 0, False
     for hop in range(max_hops + 1):
         if snapshot_dir:
             write_snapshot(_union(levels), snapshot_dir, hop)
@@ -95,7 +95,7 @@ def _search(edges, src, dst, max_hops, max_broadcast_bytes, snapshot_dir,
         if hop == max_hops:
             return None
         f = frontier.select(F.col("node").alias("source"))
-        if size * row_width(f.schema) <= max_broadcast_bytes:
+        if size <= max_broadcast_bytes:  # bytes, counted as the level was written
             f = F.broadcast(f)
         best = (e.join(f, "source").groupBy(F.col("destination").alias("node"))
                 .agg(F.min("source").alias("source")))
@@ -105,11 +105,12 @@ def _search(edges, src, dst, max_hops, max_broadcast_bytes, snapshot_dir,
         obs = Observation(f"bfs_level{hop + 1}")
         frontier = materialize(
             fresh.observe(obs, F.count(F.lit(1)).alias("n"),
+                          F.sum(row_bytes(frontier.select("node").schema)).alias("bytes"),
                           F.max((F.col("node") == dst).cast("int")).alias("hit")),
             f"bfs_level{hop + 1}")
         stats = obs.get
-        size, found = stats["n"], bool(stats["hit"])
-        if size == 0:
+        size, found = stats["bytes"] or 0, bool(stats["hit"])
+        if stats["n"] == 0:
             return None
         levels.append(frontier)
     return None

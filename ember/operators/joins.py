@@ -11,35 +11,34 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
 
-# Rough per-value widths (bytes) used to turn a row count into a size estimate.
+# Bytes of a value whose type has a fixed width; others are measured.
 _WIDTHS = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
     T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.DateType: 4,
-    T.TimestampType: 8, T.TimestampNTZType: 8, T.StringType: 48,
-    T.BinaryType: 64,
+    T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16,
 }
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def row_width(schema: T.StructType) -> int:
-    total = 16
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row: texts and binaries by their length, nested values by
+    the length of their JSON, plus 16 for the row itself."""
+    total = F.lit(16).cast("long")
     for field in schema.fields:
-        dt = field.dataType
-        if isinstance(dt, (T.ArrayType, T.MapType)):
-            total += 256
-        elif isinstance(dt, T.StructType):
-            total += row_width(dt)
-        elif isinstance(dt, T.DecimalType):
-            total += 16
+        col = F.col(f"`{field.name}`")
+        if type(field.dataType) in _WIDTHS:
+            total = total + F.lit(_WIDTHS[type(field.dataType)])
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(col), F.lit(0))
         else:
-            total += _WIDTHS.get(type(dt), 32)
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
     return total
 
 
@@ -47,7 +46,7 @@ def row_width(schema: T.StructType) -> int:
 class Measured:
     df: DataFrame
     rows: int
-    est_bytes: int
+    bytes: int
     small: bool
 
     def side(self) -> DataFrame:
@@ -58,17 +57,8 @@ class Measured:
 def measure(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> Measured:
     """Materialise a derived (normally aggregated) frame and measure it."""
     materialised = materialize(df, "measured")
-    rows = materialised.count()
-    est = rows * row_width(materialised.schema)
-    return Measured(materialised, rows, est, est <= max_bytes)
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Join ``big`` with a derived ``small`` side, broadcasting it only when
-    its measured size is within ``max_bytes``."""
-    m = measure(small, max_bytes)
-    return big.join(m.side(), on, how)
+    rows, size = materialised.agg(F.count(F.lit(1)), F.sum(row_bytes(materialised.schema))).first()
+    return Measured(materialised, rows, size or 0, (size or 0) <= max_bytes)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], buckets: int,

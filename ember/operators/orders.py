@@ -14,9 +14,10 @@ Three designs of one query, as in the reference:
 Part names inside an order are ordered by line number, then name, so the
 output is deterministic (the reference's order was whatever the reduce saw).
 
-Keys may be ``None`` (all orders), a Python list (``isin``, pushed into the
-Parquet scan), or a one-column DataFrame of keys (left-semi join; at scale
-Spark adds a runtime filter on the big side).
+Keys may be ``None`` (all orders), a Python list of any type and length
+(``isin``, pushed into the Parquet scan), or a one-column DataFrame of keys
+(left-semi join; at scale Spark adds a runtime filter on the big side). A key
+set too long for the driver belongs in a frame; the caller chooses.
 """
 
 from __future__ import annotations
@@ -26,9 +27,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many literal keys an IN-list becomes a semi-join against a frame.
-MAX_INLIST_KEYS = 1000
-
+from ..session import materialize
 
 def _restrict(df: DataFrame, key_col: str, keys) -> DataFrame:
     if keys is None:
@@ -36,12 +35,7 @@ def _restrict(df: DataFrame, key_col: str, keys) -> DataFrame:
     if isinstance(keys, DataFrame):
         k = keys.select(F.col(keys.columns[0]).alias(key_col))
         return df.join(k, key_col, "left_semi")
-    keys = list(keys)
-    if len(keys) > MAX_INLIST_KEYS:
-        spark = df.sparkSession
-        k = spark.createDataFrame([(x,) for x in keys], f"{key_col} bigint")
-        return df.join(k, key_col, "left_semi")
-    return df.where(F.col(key_col).isin(keys))
+    return df.where(F.col(key_col).isin(list(keys)))
 
 
 def _ordered_names(lineitem: DataFrame, part: DataFrame, keys) -> DataFrame:
@@ -78,6 +72,10 @@ def order_part_names(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
     ``outer=True`` orders that have no line items are kept with an empty
     ``part_names``."""
     o = _restrict(orders.select("o_orderkey", "o_totalprice"), "o_orderkey", keys)
+    if isinstance(keys, DataFrame):
+        # the chosen orders are written once; both sides below read that copy
+        o = materialize(o, "orders")
+        keys = o.select("o_orderkey")
     names = _ordered_names(lineitem, part, keys)
     joined = o.join(names, F.col("o_orderkey") == F.col("l_orderkey"),
                     "left" if outer else "inner")

@@ -2,18 +2,39 @@
 
 A scan yields one task per file split; a few large unsplittable files (or a
 table written as one row group) leave most cores idle during CPU-heavy steps
-such as tokenising. ``spread`` re-distributes rows round-robin only when the
-input has fewer partitions than the cluster can run at once - on a large
-input, already split into many tasks, it adds no shuffle.
+such as tokenising. ``spread`` re-distributes rows round-robin when the files
+under the frame give fewer splits than the cluster can run at once - on a
+large input, already split into many tasks, it adds no shuffle. The splits
+are estimated from file names and sizes in the plan, so no job runs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+_UNITS = {"b": 0, "": 0, "k": 10, "m": 20, "g": 30, "t": 40}
+
+
+def byte_size(text: str) -> int:
+    """Bytes of a Spark size setting (``134217728``, ``128m``, ``16MB``)."""
+    text = text.strip().lower()
+    digits = text.rstrip("bkmgt")
+    unit = text[len(digits):]
+    return int(digits) << _UNITS[unit[:1]]
+
+
+def scan_splits(df: DataFrame) -> int | None:
+    """About how many tasks scan the files under ``df``; None without files."""
+    files = len(df.inputFiles())
+    if not files:
+        return None
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    per_task = byte_size(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+    return max(files, -(-size // per_task))
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    splits = scan_splits(df)
+    return df.repartition(target) if splits is not None and splits < target else df

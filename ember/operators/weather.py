@@ -8,9 +8,8 @@ of a (station, date) group, so here the same answer comes from aggregates:
 1. count rows per (station, date, observation, value)   - partial aggregate
 2. per (station, date): the largest TMAX and smallest TMIN with their counts
 3. per date: the largest range (tiny), joined back on (date, range)
-4. a winner is emitted ``n_tmax * n_tmin`` times - the number of pairs the
-   self-join would have produced for that range - so results equal the
-   reference row for row, with work proportional to the output.
+4. a winner carries ``pairs`` = ``n_tmax * n_tmin``, the number of times the
+   self-join would have repeated its row, so no row is ever multiplied
 
 Only rows whose quality flag is NULL are used.
 """
@@ -20,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import DEFAULT_BROADCAST_BYTES, measure
 
 
@@ -45,26 +45,15 @@ def station_ranges(obs: DataFrame, station="station", date="date",
                     (F.col("hi_n") * F.col("lo_n")).alias("pairs")))
 
 
-def daily_max_range(obs: DataFrame, expand_pairs: bool = True, sort: bool = True,
+def daily_max_range(obs: DataFrame, sort: bool = True,
                     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, **cols) -> DataFrame:
-    """``date, station, range`` of the largest range per date (ties kept).
-
-    ``expand_pairs=False`` returns one row per winner with its ``pairs``
-    count instead of repeating the row."""
-    ranges = station_ranges(obs, **cols)
+    """``date, station, range, pairs`` of the largest range per date (ties
+    kept); ``pairs`` counts the observation pairs that give the range."""
+    # one row per station and date, written once: both steps below read it
+    ranges = materialize(station_ranges(obs, **cols), "ranges")
     best = ranges.groupBy("date").agg(F.max("range").alias("range"))
-    side = measure(best, max_broadcast_bytes).side()
-    win = ranges.join(side, ["date", "range"], "left_semi")
-    if expand_pairs:
-        # more than 2^31 - 1 identical rows for one winner cannot be expanded:
-        # fail loudly (the compact form keeps the count) rather than wrap
-        n = F.when(F.col("pairs") <= F.lit(2147483647), F.col("pairs").cast("int")) \
-            .otherwise(F.raise_error(F.lit("pair count too large to expand; "
-                                           "use expand_pairs=False")))
-        win = win.select("date", "station", "range",
-                         F.explode(F.array_repeat(F.lit(1), n)).alias("_k")).drop("_k")
-    else:
-        win = win.select("date", "station", "range", "pairs")
+    win = ranges.join(measure(best, max_broadcast_bytes).side(), ["date", "range"], "left_semi") \
+        .select("date", "station", "range", "pairs")
     return win.orderBy("date", "station") if sort else win
 
 
@@ -88,9 +77,6 @@ def daily_max_range_sql(spark: SparkSession, obs: DataFrame, sort: bool = True)
           SELECT date, station, hi - lo AS range, hi_n * lo_n AS pairs
           FROM level2 WHERE hi IS NOT NULL AND lo IS NOT NULL),
         best AS (SELECT date, max(range) AS range FROM ranges GROUP BY date)
-        SELECT r.date, r.station, r.range
+        SELECT r.date, r.station, r.range, r.pairs
         FROM ranges r LEFT SEMI JOIN best b ON r.date = b.date AND r.range = b.range
-        LATERAL VIEW explode(array_repeat(1, CASE WHEN r.pairs <= 2147483647
-            THEN CAST(r.pairs AS INT)
-            ELSE raise_error('pair count too large to expand') END)) k AS _k
         {order}""", recordings=obs)

@@ -1,7 +1,6 @@
 """Word counting.
 
-Tokens are produced by JVM expressions (``split`` / ``sentences``) and
-exploded; counting is a partial + final aggregate, so every map task
+Tokens are produced by JVM regular expressions and exploded; counting is a partial + final aggregate, so every map task
 collapses its own copies of a hot word before the shuffle.
 
 Unicode NFD (the reference's normal form) is applied *after* a first count,
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fmt import word_count_line
-from ..functions.text import locale_tokens, nfd, split_raw
+from ..functions.text import is_ascii, locale_tokens, normaliser, split_raw
 from .partitioning import spread
 
 
@@ -28,29 +27,33 @@ def words(df: DataFrame, text: str = "text", repartition: int | None = None) ->
             .where(F.col("word") != ""))
 
 
-def _normalise(counts: DataFrame) -> DataFrame:
-    return (counts.select(nfd(F.col("word")).alias("word"), "count")
+def _normalise(counts: DataFrame, form: str) -> DataFrame:
+    """Counts by normal form; ASCII words are their own and reach the Arrow
+    UDF as nulls, so Python works on the others only."""
+    word = F.col("word")
+    changed = normaliser(form)(F.when(~is_ascii(word), word))
+    return (counts.select(F.coalesce(changed, word).alias("word"), "count")
             .groupBy("word").agg(F.sum("count").alias("count")))
 
 
-def word_count(df: DataFrame, text: str = "text", normalise: bool = True,
+def word_count(df: DataFrame, text: str = "text", normalise: bool | str = True,
                repartition: int | None = None) -> DataFrame:
     """``word, count`` over lower-cased words split at punctuation/whitespace.
-    ``normalise=True`` emits and groups words in Unicode NFD."""
+    ``normalise=True`` emits and groups words in Unicode NFD; a form's name
+    (``"NFC"``) in that form; ``False`` as written."""
     counts = (words(df, text, repartition).groupBy("word")
               .agg(F.count(F.lit(1)).alias("count")))
-    return _normalise(counts) if normalise else counts
+    return _normalise(counts, "NFD" if normalise is True else normalise) if normalise else counts
 
 
-def token_count(df: DataFrame, text: str = "text", normalise: bool = True,
+def token_count(df: DataFrame, text: str = "text", normalise: bool | str = True,
                 keep_punctuation: bool = True) -> DataFrame:
     """``word, count`` over locale word-break tokens, case kept (the
     MapReduce word count)."""
-    toks = spread(df.select(text)).select(F.explode(locale_tokens(F.col(text), keep_punctuation=keep_punctuation))
-                     .alias("word")).where(F.trim("word") != "")
-    counts = toks.select(F.trim("word").alias("word")).groupBy("word") \
-        .agg(F.count(F.lit(1)).alias("count"))
-    return _normalise(counts) if normalise else counts
+    tokens = spread(df.select(text)).select(
+        F.explode(locale_tokens(F.col(text), keep_punctuation)).alias("word"))
+    counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return _normalise(counts, "NFD" if normalise is True else normalise) if normalise else counts
 
 
 def by_word(counts: DataFrame) -> DataFrame:

@@ -43,15 +43,19 @@ def props_json_average(spark, sf_dir):
     return parsed.groupBy("event_type").agg(F.round(F.avg("p.k"), 6).alias("avg_k"))
 
 
+#: Between records, so that a file can be cut into splits.
+_RECORD = "\n\x1e\n"
+
+
 @register("multiline_json_average", oracle=_AVG_ORACLE.format(key="subreddit"))
 def multiline_json_average(spark, sf_dir):
     """Comments written as pretty-printed JSON objects (several per file,
     each over several lines, with a nested object), read back with the
-    multi-line reader, averaged per subreddit."""
+    record reader, averaged per subreddit; cut-off records are dropped."""
     path = scratch_path(spark, "comments_json")
     (standins.comments_json_text(table(spark, sf_dir, "events"), pretty=True)
-     .write.option("maxRecordsPerFile", 5000).text(path))
-    comments = jsrc.read_multiline_json(spark, path, COMMENT_SCHEMA)
+     .write.option("lineSep", _RECORD).text(path))
+    comments = jsrc.read_json_objects(spark, path, COMMENT_SCHEMA, line_sep=_RECORD)
     return agg.group_average(comments, "subreddit", "score", digits=6)
 
 
@@ -81,5 +85,5 @@ def relative_score_json_lines(spark, sf_dir):
     declared schema (only the needed fields)."""
     path = scratch_path(spark, "comments_jsonl")
     standins.comments_json_text(table(spark, sf_dir, "events"), pretty=False).write.text(path)
-    c = jsrc.read_json_lines(spark, path, COMMENT_SCHEMA)
+    c = jsrc.read_json_objects(spark, path, COMMENT_SCHEMA)
     return agg.relative_score(c, "subreddit", "score", "author", broadcast=True, digits=6)

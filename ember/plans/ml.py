@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.colour import lab_sql
-from ..ml.colour import compare_classifiers, with_lab
-from ..ml.regression import best_regressor, predictions
+from ..ml.colour import compare_classifiers, label_indexer, with_lab
+from ..ml.regression import best_regressor, best_weather_model, linear_fit, predictions, with_day_of_year
+from ..ml.split import train_test_split
 from ..operators.aggregate import histogram_2d
+from ..session import scratch_path
+from ..sinks import write_csv
 from ..sources import standins
+from ..sources.delimited import read_csv
 from ..sources.testdata import table
 from .registry import register
 
@@ -77,3 +81,62 @@ def price_prediction_histogram(spark, sf_dir):
                               split_key="p_partkey")
     return histogram_2d(predictions(model, part, "p_retailprice"), "p_retailprice",
                         "prediction", bins=20)
+
+
+@register("colour_split_counts", oracle=f"""
+WITH {_COLOURS.replace("FROM part", ", p_partkey FROM part")},
+s AS (SELECT CASE WHEN R >= G AND R >= B THEN 'red' WHEN G >= B THEN 'green' ELSE 'blue' END AS labelword,
+             CAST(('0x' || substr(md5(p_partkey || '/42'), 1, 8)) AS BIGINT) % 10000 < 7500 AS train FROM c)
+SELECT labelword, train, count(*) AS n FROM s GROUP BY ALL
+""")
+def colour_split_counts(spark, sf_dir):
+    """Rows of each label on both sides of the repeatable split."""
+    train, test = train_test_split(standins.colours(table(spark, sf_dir, "part")), 0.75, key="p_partkey",
+                                   cache=False)
+    return (train.withColumn("train", F.lit(True)).unionByName(test.withColumn("train", F.lit(False)))
+            .groupBy("labelword", "train").agg(F.count("*").alias("n")))
+
+
+@register("colour_label_index", oracle=f"""
+WITH {_COLOURS},
+s AS (SELECT CASE WHEN R >= G AND R >= B THEN 'red' WHEN G >= B THEN 'green' ELSE 'blue' END AS labelword FROM c),
+n AS (SELECT labelword, count(*) AS n FROM s GROUP BY labelword)
+SELECT labelword, CAST(row_number() OVER (ORDER BY n DESC, labelword) - 1 AS DOUBLE) AS index, n FROM n
+""")
+def colour_label_index(spark, sf_dir):
+    """The label index the classifiers are trained on, with its rows; the
+    colours come from a CSV file with a header."""
+    path = scratch_path(spark, "colours")
+    write_csv(standins.colours(table(spark, sf_dir, "part")), path, header=True)
+    colours = read_csv(spark, path, "R int, G int, B int, p_partkey long, labelword string", header=True)
+    indexed = label_indexer("labelword").fit(colours).transform(colours)
+    return indexed.groupBy("labelword", "index").agg(F.count("*").alias("n"))
+
+
+@register("price_linear_fit", oracle="""
+SELECT round(regr_slope(p_retailprice, p_partkey), 6) AS slope,
+       round(regr_intercept(p_retailprice, p_partkey), 6) AS intercept,
+       round(regr_r2(p_retailprice, p_partkey), 6) AS r2 FROM part
+""")
+def price_linear_fit(spark, sf_dir):
+    """Unregularised fit of retail price on part key."""
+    fit = linear_fit(table(spark, sf_dir, "part"), "p_partkey", "p_retailprice")
+    return fit.select(*(F.round(c, 6).alias(c) for c in fit.columns))
+
+
+@register("station_day_of_year", oracle="""
+SELECT CAST(user_id AS VARCHAR) AS station, dayofyear(ts) AS doy, count(*) AS n
+FROM events GROUP BY ALL
+""")
+def station_day_of_year(spark, sf_dir):
+    """Readings per station and day of year, the regression's time feature."""
+    rows = with_day_of_year(standins.station_temperatures(table(spark, sf_dir, "events")))
+    return rows.groupBy("station", F.col("doy").cast("long").alias("doy")).agg(F.count("*").alias("n"))
+
+
+@register("station_temperature_scores")
+def station_temperature_scores(spark, sf_dir):
+    """r2 of the four tuned regressors for station temperatures."""
+    _, scores = best_weather_model(standins.station_temperatures(table(spark, sf_dir, "events")),
+                                   split_key="event_id")
+    return scores

@@ -66,6 +66,51 @@ def orders_part_names_by_segment(spark, sf_dir):
     return ops.order_part_names_outer(orders, lineitem, part, keys)
 
 
+# Keys a caller asks for: present ones, one that no table has, one negative.
+KEYS = [1, 2, 3, 7, 32, 33, 64, 100, 128, 255, 256, 511, 777, 999, 1000, 1234, -5, 10 ** 12]
+_KEYS = ", ".join(map(str, KEYS))
+
+
+@register("orders_by_keys", oracle=f"""
+SELECT o.o_orderkey, o.o_totalprice, {_NAMES} AS part_names,
+       'Order #' || o.o_orderkey || ' $' || {_PRICE} || ': ' || {_NAMES} AS line
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+JOIN part p ON l.l_partkey = p.p_partkey WHERE o.o_orderkey IN ({_KEYS})
+GROUP BY o.o_orderkey, o.o_totalprice
+""")
+def orders_by_keys(spark, sf_dir):
+    """Look-up of a list of keys: pushed into both scans."""
+    return ops.order_part_names(*_tables(spark, sf_dir), keys=KEYS)
+
+
+@register("orders_by_keys_outer", oracle=f"""
+WITH n AS (
+  SELECT l.l_orderkey, {_NAMES} AS names
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY l.l_orderkey)
+SELECT o.o_orderkey, o.o_totalprice, coalesce(n.names, '') AS part_names,
+       'Order #' || o.o_orderkey || ' $' || {_PRICE} || ': ' || coalesce(n.names, '') AS line
+FROM orders o LEFT JOIN n ON o.o_orderkey = n.l_orderkey WHERE o.o_orderkey IN ({_KEYS})
+""")
+def orders_by_keys_outer(spark, sf_dir):
+    return ops.order_part_names_outer(*_tables(spark, sf_dir), keys=KEYS)
+
+
+@register("orders_denormalized_by_keys", oracle=f"""
+SELECT o.o_orderkey, o.o_totalprice, {_NAMES} AS part_names,
+       'Order #' || o.o_orderkey || ' $' || {_PRICE} || ': ' || {_NAMES} AS line
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+JOIN part p ON l.l_partkey = p.p_partkey WHERE o.o_orderkey IN ({_KEYS})
+GROUP BY o.o_orderkey, o.o_totalprice
+""")
+def orders_denormalized_by_keys(spark, sf_dir):
+    """The same look-up from the nested table: row groups outside the keys
+    are skipped."""
+    store = KeyedStore(spark, root=scratch_path(spark, "store"))
+    store.append(ops.denormalize_orders(*_tables(spark, sf_dir)), "tpch", "orders_parts", key="o_orderkey",
+                 parallelism=spark.sparkContext.defaultParallelism)
+    return ops.lookup_denormalized(store.read("tpch", "orders_parts", view=False), KEYS)
+
+
 @register("orders_denormalized_lookup", oracle=f"""
 SELECT o.o_orderkey, o.o_totalprice, {_NAMES} AS part_names,
        'Order #' || o.o_orderkey || ' $' || {_PRICE} || ': ' || {_NAMES} AS line

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from ..functions.text import WORD_SEPARATOR
+from ..functions.text import LOCALE_TOKEN, WORD_SEPARATOR
 from ..operators import wordcount as wc
+from ..session import scratch_path
+from ..sinks import write_key_value, written_lines
 from ..sources.testdata import table
+from ..sources.text import read_lines
 from .registry import register
 
 _SEP = WORD_SEPARATOR.replace("'", "''")
@@ -44,7 +47,64 @@ def word_count_nfd(spark, sf_dir):
     return wc.word_count(table(spark, sf_dir, "documents"), "text", normalise=True)
 
 
-@register("token_count")
+@register("word_count_nfc", oracle=f"""
+SELECT nfc_normalize(word) AS word, CAST(sum(count) AS BIGINT) AS count FROM ({_WORDS}) GROUP BY 1
+""")
+def word_count_nfc(spark, sf_dir):
+    """The same normaliser in the composed form, which DuckDB has."""
+    return wc.word_count(table(spark, sf_dir, "documents"), "text", normalise="NFC")
+
+
+_LINES = "word || ' ' || CAST(count AS VARCHAR)"
+
+
+@register("word_count_text_by_freq", oracle=f"""
+SELECT CAST(row_number() OVER (ORDER BY count DESC, word) - 1 AS INTEGER) AS pos, {_LINES} AS line
+FROM ({_WORDS})
+""")
+def word_count_text_by_freq(spark, sf_dir):
+    """The by-frequency output as text files, read back in file order."""
+    counts = wc.by_frequency(wc.word_count(table(spark, sf_dir, "documents"), "text", normalise=False))
+    return written_lines(counts, "line", scratch_path(spark, "by-freq"))
+
+
+@register("word_count_text_by_word", oracle=f"""
+SELECT CAST(row_number() OVER (ORDER BY word) - 1 AS INTEGER) AS pos, {_LINES} AS line
+FROM ({_WORDS})
+""")
+def word_count_text_by_word(spark, sf_dir):
+    """The by-word output as text files, read back in file order."""
+    counts = wc.by_word(wc.word_count(table(spark, sf_dir, "documents"), "text", normalise=False))
+    return written_lines(counts, "line", scratch_path(spark, "by-word"))
+
+
+@register("word_count_key_value", oracle=f"""
+SELECT word || chr(9) || CAST(count AS VARCHAR) AS line FROM ({_WORDS})
+""")
+def word_count_key_value(spark, sf_dir):
+    """Key, tab, value lines, read back as lines."""
+    path = scratch_path(spark, "key-value")
+    counts = wc.word_count(table(spark, sf_dir, "documents"), "text", normalise=False)
+    write_key_value(counts, path, "word", "count")
+    return read_lines(spark, path).withColumnRenamed("value", "line")
+
+
+_TOKEN = LOCALE_TOKEN.replace("'", "''")
+
+
+@register("token_count", oracle=f"""
+SELECT word, count(*) AS count
+FROM (SELECT unnest(regexp_extract_all(text, '{_TOKEN}')) AS word FROM documents) GROUP BY word
+""")
 def token_count(spark, sf_dir):
-    """Locale word-break tokens with case kept (the MapReduce word count)."""
-    return wc.token_count(table(spark, sf_dir, "documents"), "text", normalise=True)
+    """Locale word-break tokens with case kept, as written (the MapReduce
+    word count before its normal form)."""
+    return wc.token_count(table(spark, sf_dir, "documents"), "text", normalise=False)
+
+
+@register("token_count_nfc", oracle=f"""
+SELECT nfc_normalize(word) AS word, count(*) AS count
+FROM (SELECT unnest(regexp_extract_all(text, '{_TOKEN}')) AS word FROM documents) GROUP BY 1
+""")
+def token_count_nfc(spark, sf_dir):
+    return wc.token_count(table(spark, sf_dir, "documents"), "text", normalise="NFC")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.topk import argmax_per_group, max_per_group, top_per_group
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import standins
 from ..sources.delimited import popular_pages, read_pageviews
 from ..sources.testdata import table
@@ -79,10 +79,12 @@ def pageview_files_top(spark, sf_dir):
     with a space separator and no quoting; hour from the path; English,
     non-special pages; most-viewed titles per hour with ties."""
     path = scratch_path(spark, "pagecounts")
-    # every hour folder written by one task, all cores writing (an explicit
-    # count, so AQE does not coalesce the writers back into one task)
-    writers = spark.sparkContext.defaultParallelism
-    (standins.pageview_lines(table(spark, sf_dir, "events"))
-     .repartition(writers, "pagecounts").write.partitionBy("pagecounts").text(path))
-    pv = popular_pages(read_pageviews(spark, path, from_path=True))
+    # clustered by hour and a hash of the line, so an hour's lines are dealt to
+    # several writers once they fill more than one
+    lines = standins.pageview_lines(table(spark, sf_dir, "events"))
+    (lines.repartitionByRange("pagecounts", F.xxhash64("value"))
+     .write.partitionBy("pagecounts").text(path))
+    # parsed once: the maxima and the rows that reach them read the copy
+    pv = materialize(popular_pages(read_pageviews(spark, path, from_path=True)).select("hour", "title", "views"),
+                     "pageviews")
     return top_per_group(pv, "hour", "views", keep=["title"])

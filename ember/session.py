@@ -31,17 +31,15 @@ DEFAULT_CONF = {
 
 
 def recommended_conf(input_bytes: int, total_cores: int,
-                     shuffle_partition_bytes: int = 256 << 20,
-                     max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+                     shuffle_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized to the input so every task fits in executor memory.
 
     Shuffle partitions start at about one per ``shuffle_partition_bytes`` of
     input (at least two waves of the cluster's cores) and AQE coalesces the
     small ones at run time; scans are split at 256 MB; a shuffle partition
     five times the median and over 512 MB counts as skewed and is split.
-    At 100 TB on 8,000 cores this gives ~200,000 initial partitions."""
-    shuffle = max(2 * total_cores, min(max_shuffle_partitions,
-                                       -(-input_bytes // shuffle_partition_bytes)))
+    At 100 TB on 8,000 cores this gives ~400,000 initial partitions."""
+    shuffle = max(2 * total_cores, -(-input_bytes // shuffle_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(256 << 20),

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.fmt import key_value_line
@@ -74,14 +74,17 @@ def count_only(df: DataFrame, counters: dict[str, Column], name: str = "counters
     return obs.get
 
 
-def stream_writer(df: DataFrame, sink: str = "console", mode: str = "update",
-                  checkpoint: str | None = None, trigger: dict | None = None, **options):
-    """A configured ``DataStreamWriter`` (console, memory, parquet, ...)."""
-    w = df.writeStream.format(sink).outputMode(mode)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    for k, v in options.items():
-        w = w.option(k, v)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w
+def written_lines(df: DataFrame, line: Column | str | None, path: str) -> DataFrame:
+    """Write ``df`` as text in its order and read the lines back with their
+    place in the whole output: ``pos, line``. Files count in name order; a
+    window per file numbers its lines, one small row per file the files."""
+    write_text(df, path, line)
+    spark = df.sparkSession
+    rows = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    within = F.row_number().over(Window.partitionBy("file").orderBy("block", "id")) - 1
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = rows.groupBy("file").agg(F.count("*").alias("n")).select("file", before.alias("before"))
+    return rows.withColumn("at", within).join(files, "file").select(
+        (F.col("at") + F.col("before")).cast("int").alias("pos"), "line")

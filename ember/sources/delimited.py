@@ -16,6 +16,8 @@ PAGEVIEW_SCHEMA = T.StructType([
 # Fixed value: the hour stamp inside a page-view file name,
 # ``pagecounts-yyyymmdd-hhmmss[.gz]`` -> ``yyyymmdd-hh``.
 HOUR_IN_NAME = r"(\d{8}-\d{2})\d{4}"
+# the last stamp counts: folders above the file may carry others
+_LAST_HOUR = "^.*" + HOUR_IN_NAME
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType | str, header: bool = False,
@@ -24,7 +26,7 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | str, header: bool
 
 
 def hour_from_file_name(name: F.Column) -> F.Column:
-    return F.regexp_extract(name, HOUR_IN_NAME, 1)
+    return F.regexp_extract(name, _LAST_HOUR, 1)
 
 
 def read_pageviews(spark: SparkSession, path, from_path: bool = False) -> DataFrame:

@@ -7,13 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import read_whole_files
+from .text import read_lines, read_whole_files
 
-# A record boundary: a closing brace ending a line, then (after blank space)
-# a line starting with an opening brace. A raw newline cannot occur inside a
-# JSON string, and an array of objects has a comma there, so this only cuts
-# between top-level objects. Two objects on one physical line stay together.
-OBJECT_BOUNDARY = r"(?<=\})[ \t\r]*\n\s*(?=\{)"
+_BAD = "_bad_record"
+
+# A string literal, or whatever stands up to the next one (a quote without an
+# end takes the rest): strings are skipped, so braces inside them do not count.
+_PIECES = r'"(?:[^"\\]|\\.)*"|[^"]+|"'
+# Outside strings only two top-level objects follow each other with nothing
+# but space between; inside an array or object there is a comma.
+_BETWEEN = r"\}\s*\{"
+_CUT = "\u0001"
 
 
 def read_json_lines(spark: SparkSession, path, schema: T.StructType | str,
@@ -30,22 +34,48 @@ def read_json_lines(spark: SparkSession, path, schema: T.StructType | str,
 
 
 def split_objects(text: F.Column) -> F.Column:
-    """Array of the top-level JSON object texts in a whole-file string."""
-    return F.filter(F.split(F.trim(text), OBJECT_BOUNDARY), lambda s: F.trim(s) != "")
+    """Array of the top-level JSON object texts in a text, several on one line
+    included."""
+    marked = F.transform(F.regexp_extract_all(text, F.lit(_PIECES), 0), lambda p: F.when(
+        p.startswith('"'), p).otherwise(F.regexp_replace(p, _BETWEEN, "}" + _CUT + "{")))
+    return F.filter(F.split(F.array_join(marked, ""), _CUT), lambda s: F.trim(s) != "")
+
+
+def parse_objects(df: DataFrame, json: str, schema: T.StructType | str, keep_invalid: bool = False,
+                  bad_records=None) -> DataFrame:
+    """The fields of the JSON objects in column ``json``. Objects that do not
+    parse are dropped, unless ``keep_invalid``; an ``Observation`` given as
+    ``bad_records`` counts them as ``bad`` when the result is read."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    whole = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    parsed = df.select(F.from_json(json, whole, {"columnNameOfCorruptRecord": _BAD}).alias("r"))
+    if bad_records is not None:
+        parsed = parsed.observe(bad_records, F.count(F.col(f"r.{_BAD}")).alias("bad"))
+    if not keep_invalid:
+        parsed = parsed.where(F.col("r").isNotNull() & F.col(f"r.{_BAD}").isNull())
+    return parsed.select(*(F.col("r")[f.name].alias(f.name) for f in schema.fields))
+
+
+def read_json_objects(spark: SparkSession, path, schema: T.StructType | str, line_sep: str | None = None,
+                      keep_invalid: bool = False, bad_records=None) -> DataFrame:
+    """Text records that each hold one or more JSON objects. ``line_sep`` cuts
+    records inside a file, so a large file is read by many tasks (``"\\n}\\n"``
+    style separators keep pretty-printed objects whole)."""
+    lines = read_lines(spark, path, line_sep=line_sep)
+    return parse_objects(lines.select(F.explode(split_objects(F.col("value"))).alias("json")), "json", schema,
+                         keep_invalid, bad_records)
 
 
 def read_multiline_json(spark: SparkSession, path, schema: T.StructType | str,
-                        keep_invalid: bool = False) -> DataFrame:
+                        keep_invalid: bool = False, bad_records=None) -> DataFrame:
     """Files holding a sequence of JSON objects, each possibly spread over
-    many lines. A file is read whole (one task per file), split between
-    objects, and each object parsed with ``from_json``; unparsable objects are
-    dropped unless ``keep_invalid``."""
+    many lines. A file is read whole (one task per file: for files that fit a
+    task; ``read_json_objects`` splits larger ones), cut between objects, and
+    each object parsed; see ``parse_objects`` for the invalid ones."""
     files = read_whole_files(spark, path)
-    objs = files.select(F.explode(split_objects(F.col("value"))).alias("json"))
-    parsed = objs.select(F.from_json("json", schema).alias("r"), "json")
-    if not keep_invalid:
-        parsed = parsed.where(F.col("r").isNotNull())
-    return parsed.select("r.*")
+    return parse_objects(files.select(F.explode(split_objects(F.col("value"))).alias("json")), "json", schema,
+                         keep_invalid, bad_records)
 
 
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType | str,

@@ -40,7 +40,9 @@ def comments_json_text(events: DataFrame, pretty: bool = True) -> DataFrame:
         F.col("value").cast("string"), F.lit("," + nl + ind + '"author": '), author,
         F.lit("," + nl + ind + '"props": '), F.coalesce(F.col("props"), F.lit("null")),
         F.lit(nl + "}"))
-    return events.select(text.alias("value"))
+    # every fortieth record is followed by one that was cut off
+    cut = F.when(F.col("event_id") % 40 == 0, F.array(text, F.substring(text, 1, 20))).otherwise(F.array(text))
+    return events.select(F.explode(cut).alias("value"))
 
 
 def observations(events: DataFrame) -> DataFrame:
@@ -52,7 +54,21 @@ def observations(events: DataFrame) -> DataFrame:
                     obs.alias("observation"),
                     F.col("value").alias("value"),
                     F.lit(None).cast("string").alias("mflag"),
-                    F.lit(None).cast("string").alias("qflag")))
+                    # every eleventh reading failed its quality check
+                    F.when(F.col("event_id") % 11 == 0, "X").alias("qflag")))
+
+
+def station_temperatures(events: DataFrame) -> DataFrame:
+    """A reading per event: a station has a fixed place and elevation, and
+    the temperature follows latitude and season with the value as noise."""
+    place = F.col("user_id")
+    season = F.cos((F.dayofyear("ts") - 200) / F.lit(58.1))
+    return events.select(
+        "event_id", place.cast("string").alias("station"), F.to_date("ts").alias("date"),
+        (place * 37 % 120 - 60).cast("float").alias("latitude"),
+        (place * 53 % 360 - 180).cast("float").alias("longitude"),
+        (place * 11 % 3000).cast("float").alias("elevation"),
+        (30 - F.abs(place * 37 % 120 - 60) / 3 + 10 * season + F.col("value") / 100).cast("float").alias("tmax"))
 
 
 def log_lines(events: DataFrame) -> DataFrame:
@@ -67,11 +83,23 @@ def point_messages(events: DataFrame) -> DataFrame:
                                      F.col("value").cast("string")).alias("value"))
 
 
-def link_edges(region: DataFrame, nation: DataFrame, customer: DataFrame,
-               orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def _ids(prefix: str, col: str):
+    return F.concat(F.lit(prefix), F.col(col).cast("string"))
+
+
+def back_links(nation: DataFrame, customer: DataFrame) -> DataFrame:
+    """Edges that close cycles: nations to their region and to themselves,
+    customers to their nation."""
+    return (nation.select(_ids("n", "n_nationkey").alias("source"), _ids("r", "n_regionkey").alias("destination"))
+            .unionByName(nation.select(_ids("n", "n_nationkey").alias("source"),
+                                       _ids("n", "n_nationkey").alias("destination")))
+            .unionByName(customer.select(_ids("c", "c_custkey").alias("source"),
+                                         _ids("n", "c_nationkey").alias("destination"))))
+
+
+def link_edges(nation: DataFrame, customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Directed edges with prefixed ids: r<k> -> n<k> -> c<k> -> o<k> -> p<k>."""
-    def ids(prefix, col):
-        return F.concat(F.lit(prefix), F.col(col).cast("string"))
+    ids = _ids
     return (nation.select(ids("r", "n_regionkey").alias("source"), ids("n", "n_nationkey").alias("destination"))
             .unionByName(customer.select(ids("n", "c_nationkey").alias("source"),
                                          ids("c", "c_custkey").alias("destination")))

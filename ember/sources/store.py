@@ -30,11 +30,13 @@ class KeyedStore:
     def read(self, keyspace: str, table: str, split_bytes: int | None = None,
              view: bool = True) -> DataFrame:
         """Full-table scan as a DataFrame, registered as a temp view named
-        after the table."""
+        after the table. With Parquet ``split_bytes`` sets the session's scan
+        split size, for this and later scans."""
         reader = self.spark.read.format(self.fmt).options(**self.options)
         if self.fmt == "parquet":
             if split_bytes:
-                reader = reader.option("maxPartitionBytes", str(split_bytes))
+                # a session setting: Parquet readers take no split option
+                self.spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
             df = reader.load(self._path(keyspace, table))
         else:
             if split_bytes:

@@ -12,9 +12,3 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def register_all(spark: SparkSession, sf_dir: str) -> None:
-    """Temp views named after the tables, for SQL-form jobs."""
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)

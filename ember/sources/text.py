@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread
 
 def read_lines(spark: SparkSession, path: str | list[str], min_partitions: int | None = None,
                line_sep: str | None = None, with_file_name: bool = False) -> DataFrame:
@@ -17,9 +18,7 @@ def read_lines(spark: SparkSession, path: str | list[str], min_partitions: int |
     df = reader.text(path)
     if with_file_name:
         df = df.select("value", F.col("_metadata.file_name").alias("file_name"))
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return spread(df, min_partitions) if min_partitions else df
 
 
 def read_whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -45,9 +45,13 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **options) ->
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming ``value`` column from text files appearing in ``path``."""
+def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None,
+                  bytes_per_trigger: int | None = None) -> DataFrame:
+    """Streaming ``value`` column from text files appearing in ``path``; a
+    micro-batch takes so many files, or about so many bytes."""
     reader = spark.readStream.schema("value string")
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.text(path)
@@ -80,9 +84,10 @@ def run_available(messages: DataFrame, checkpoint: str, results: str,
 
     q = start_regression(messages, checkpoint, trigger={"availableNow": True},
                          foreach_batch=save, digits=digits)
-    q.awaitTermination(timeout)
-    if q.isActive:
+    if not (q.awaitTermination(timeout) if timeout is not None else q.awaitTermination() or True):
         q.stop()
+        raise TimeoutError(f"the stream was not read to its end within {timeout} s; "
+                           "run again with the same checkpoint to go on")
     if q.exception() is not None:
         raise q.exception()
     spark = messages.sparkSession

@@ -1,12 +1,14 @@
 """Hand-made micro-fixtures for behaviour the DuckDB oracle cannot see."""
 
+import collections
 import os
 import unicodedata
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from ember.functions.text import split_words
+from conftest import SF_SMALL
 from ember.operators import aggregate as agg
 from ember.operators import orders as ops
 from ember.operators.graph import adjacency_edges, shortest_path, shortest_path_known
@@ -14,8 +16,10 @@ from ember.operators.topk import top_per_group
 from ember.operators.weather import daily_max_range, daily_max_range_sql
 from ember.operators.wordcount import by_frequency, token_count, word_count
 from ember.sources.delimited import popular_pages, read_pageviews
-from ember.sources.json import read_json_lines, read_multiline_json
+from ember.sources.json import read_json_lines, read_json_objects, read_multiline_json
+from ember.functions.fmt import json_pair
 from ember.functions.logs import parse_access_log
+from words import expected_words
 
 
 def _write(path, text, name="part-0.txt"):
@@ -52,7 +56,35 @@ def test_multiline_json_reads_every_object(spark, tmp):
     assert avg == {"a": 3.0, "b": 6.0}
 
 
-def test_json_lines_bad_record_dropped(spark, tmp):
+def test_json_objects_drop_and_count_bad_records(spark, tmp):
+    lines = ['{"subreddit": "a", "score": 1} {"subreddit": "b} {", "score": 2}', "not json", "",
+             '{"subreddit": "a", "score": {"x": 1}, "more": [{"y": 2}, {"z": 3}]}', '{"subreddit": "c", "score": 4']
+    path = _write(os.path.join(tmp, "jo"), "\n".join(lines))
+    bad = Observation("bad")
+    df = read_json_objects(spark, path, "subreddit string, score long", bad_records=bad)
+    assert sorted((r.subreddit, r.score) for r in df.collect()) == [("a", 1), ("b} {", 2)]
+    assert bad.get == {"bad": 3}
+    assert read_json_objects(spark, path, "subreddit string, score long", keep_invalid=True).count() == 5
+    whole = read_multiline_json(spark, path, "subreddit string, score long")
+    assert sorted(r.score for r in whole.collect()) == [1, 2]
+
+
+def test_json_pair_prints_plain_numbers(spark):
+    values = [12345678.0, 0.0001, 3.0, -2.5, 1e16, 1.25e-7, 123456789012345.6, 0.1, -1e22, 0.0]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "k string, v double")
+    got = [r[0] for r in df.select(json_pair("k", "v")).collect()]
+    assert got == [f'["{i}", {v!r}]' for i, v in enumerate(values)]
+
+
+def test_orders_by_a_long_list_of_any_type(spark):
+    keys = [f"k{i}" for i in range(1001)]
+    orders = spark.createDataFrame([(k, 1.0) for k in keys[:5]] + [("other", 2.0)], "o_orderkey string, o_totalprice double")
+    assert sorted(r[0] for r in ops.lookup_denormalized(
+        orders.withColumn("part_names", F.array()).withColumn("o_orderkey", F.col("o_orderkey")), keys)
+        .select("o_orderkey").collect()) == keys[:5]
+
+
+def test_json_lines_bad_record_kept_aside(spark, tmp):
     path = _write(os.path.join(tmp, "jl"),
                   '{"subreddit": "a", "score": 1}\nnot json\n{"subreddit": "a", "score": 3}\n')
     df = read_json_lines(spark, path, "subreddit string, score long", bad_records_column="_bad")
@@ -146,22 +178,29 @@ def test_daily_range_quality_flag_and_pairs(spark):
     ]
     df = spark.createDataFrame(rows, "station string, date long, observation string, "
                                      "value long, mflag string, qflag string")
-    expected = [(20200101, "S1", 20), (20200101, "S1", 20), (20200101, "S2", 20),
-                (20200102, "S4", 7), (20200102, "S5", 7)]
+    expected = [(20200101, "S1", 20, 2), (20200101, "S2", 20, 1),
+                (20200102, "S4", 7, 1), (20200102, "S5", 7, 1)]
     for out in (daily_max_range(df), daily_max_range_sql(spark, df)):
-        assert [(r.date, r.station, r.range) for r in out.collect()] == expected
+        assert [(r.date, r.station, r.range, r.pairs) for r in out.collect()] == expected
+
+
+def test_daily_range_counts_many_pairs(spark):
+    n = 50_000
+    df = spark.range(2 * n).select(
+        F.lit("S").alias("station"), F.lit(20200101).cast("long").alias("date"),
+        F.when(F.col("id") < n, "TMAX").otherwise("TMIN").alias("observation"),
+        F.when(F.col("id") < n, 9).otherwise(2).alias("value"), F.lit(None).cast("string").alias("qflag"))
+    for out in (daily_max_range(df), daily_max_range_sql(spark, df)):
+        assert [tuple(r) for r in out.collect()] == [(20200101, "S", 7, n * n)]
 
 
 # --- words -----------------------------------------------------------------
 
-def test_split_words_matches_python(spark):
-    import re
-    import string
-    text = "Hello, World!! it's  3.5\tdogs—éte café x_y"
-    sep = re.compile(r"[%s\s]+" % re.escape(string.punctuation))
-    expected = [w for w in sep.split(text.lower()) if w]
-    got = spark.createDataFrame([(text,)], "t string").select(split_words("t").alias("w")).first().w
-    assert got == expected
+def test_words_match_python(spark):
+    text = "Hello, World!! it's  3.5\tdogs—éte café x_y"
+    df = spark.createDataFrame([(text,)], "text string")
+    got = {r.word: r["count"] for r in word_count(df, normalise=False).collect()}
+    assert got == dict(collections.Counter(expected_words(text)))
 
 
 def test_word_count_nfd_merges_forms(spark):
@@ -170,20 +209,13 @@ def test_word_count_nfd_merges_forms(spark):
     assert got == {unicodedata.normalize("NFD", "café"): 3, "cafe": 1}
 
 
-def test_word_count_nfd_equals_python_on_documents(spark):
-    import collections
-    import re
-    import string
-    from conftest import SF_SMALL
+@pytest.mark.parametrize("form", ["NFD", "NFC", "NFKD"])
+def test_word_count_forms_equal_python_on_documents(spark, form):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    sep = re.compile(r"[%s\s]+" % re.escape(string.punctuation))
     expected = collections.Counter()
     for r in docs.select("text").toLocalIterator():
-        for line in r.text.splitlines():
-            for w in sep.split(line.lower()):
-                if w:
-                    expected[unicodedata.normalize("NFD", w)] += 1
-    got = {r.word: r["count"] for r in word_count(docs).collect()}
+        expected.update(expected_words(r.text, form))
+    got = {r.word: r["count"] for r in word_count(docs, normalise=form).collect()}
     assert got == dict(expected)
 
 
@@ -196,9 +228,7 @@ def test_by_frequency_order(spark):
 def test_token_count_equals_jvm_break_iterator(spark):
     """Brute force: the JDK's word BreakIterator per line, segments trimmed,
     non-empty ones counted in NFD - driven through the session's JVM."""
-    import collections
-    from conftest import SF_SMALL
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     jvm = spark._jvm
     locale = jvm.java.util.Locale("en", "ca")
     expected = collections.Counter()

@@ -1,21 +1,26 @@
 """Helpers not covered elsewhere."""
 
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from ember import sinks
 from ember.operators.graph import adjacency_edges, shortest_path_known
 from ember.operators.topk import argmax_per_group
+from ember.operators.joins import measure
+from ember.operators.partitioning import byte_size, spread
 from ember.session import materialize, recommended_conf
-from ember.streaming.regression import file_messages, run_for
+from ember.sources.store import KeyedStore
+from ember.streaming.regression import file_messages, run_available, run_for
 
 
 def test_recommended_conf_scales_with_input():
     small = recommended_conf(40 << 20, 8)
     big = recommended_conf(100 << 40, 8000)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
@@ -54,6 +59,53 @@ def test_run_for_stops_after_bound(spark, tmp):
     os.makedirs(src)
     with open(os.path.join(src, "a.txt"), "w") as f:
         f.write("1 2\n2 4\n3 6\n")
+    began = time.time()
     q = run_for(file_messages(spark, src), os.path.join(tmp, "ckpt"), seconds=8, sink="noop")
-    assert not q.isActive
-    assert q.lastProgress is None or q.lastProgress["numInputRows"] >= 0
+    assert not q.isActive and q.exception() is None
+    assert 8 <= time.time() - began < 60
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 3
+
+
+def test_run_available_does_not_return_half_a_stream(spark, tmp):
+    src = os.path.join(tmp, "in")
+    spark.range(200).selectExpr("concat(id, ' ', 2 * id) AS value").repartition(40).write.text(src)
+    messages = file_messages(spark, src, files_per_trigger=1)
+    where = dict(checkpoint=os.path.join(tmp, "ckpt"), results=os.path.join(tmp, "out"))
+    with pytest.raises(TimeoutError):
+        run_available(messages, timeout=0.1, **where)
+    assert run_available(messages, **where).first()["n"] == 200
+
+
+def test_measure_sees_real_bytes(spark):
+    wide = spark.range(500).select("id", F.repeat(F.lit("x"), 200_000).alias("t"))
+    m = measure(wide)
+    assert m.rows == 500 and m.bytes > 100_000_000 and not m.small
+    assert measure(spark.range(10).select("id", F.array("id").alias("a"))).small
+
+
+def test_spread_runs_no_job(spark, tmp):
+    path = os.path.join(tmp, "one")
+    spark.range(100).coalesce(1).write.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    one, grouped = spark.read.parquet(path), spark.read.parquet(path).groupBy("id").count()
+    plans = [spread(one, 4), spread(spark.range(5), 4), spread(grouped, 4)]
+    assert len(tracker.getJobIdsForGroup(None)) <= before + 2  # schema reads only
+    assert plans[0].rdd.getNumPartitions() == 4
+    assert byte_size("128m") == byte_size("134217728b") == byte_size("134217728") == 128 << 20
+
+
+def test_store_split_size(spark, tmp):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        store = KeyedStore(spark, root=tmp)
+        store.append(spark.range(200_000), "k", "t", parallelism=1)
+        assert store.read("k", "t", split_bytes=64 << 10, view=False).rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_written_lines_keep_their_place(spark, tmp):
+    df = spark.range(1000).repartition(7).orderBy(F.desc("id")).select(F.col("id").cast("string").alias("v"))
+    got = sinks.written_lines(df, "v", os.path.join(tmp, "lines")).orderBy("pos").collect()
+    assert [(r.pos, r.line) for r in got] == [(i, str(999 - i)) for i in range(1000)]

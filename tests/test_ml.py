@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_MID, SF_SMALL
 from ember.functions.colour import lab_sql
 from ember.ml.colour import compare_classifiers, with_lab
-from ember.ml.regression import WEATHER_STATEMENT, best_regressor
+from ember.ml.regression import best_regressor, best_weather_model, with_day_of_year
 from ember.sources import standins
 from ember.sources.testdata import table
 from pyspark.ml.feature import SQLTransformer
@@ -29,12 +29,18 @@ def test_lab_sql_stage_equals_expressions(spark):
         assert tuple(x) == pytest.approx(tuple(y), abs=1e-9)
 
 
-def test_weather_statement_adds_day_of_year(spark):
+def test_day_of_year(spark):
     df = spark.createDataFrame([("S", "2024-02-01", 1.0, 2.0, 3.0, 4.0)],
                                "station string, date string, latitude double, longitude double, "
                                "elevation double, tmax double").withColumn("date", F.to_date("date"))
-    out = SQLTransformer(statement=WEATHER_STATEMENT).transform(df).first()
-    assert out.doy == 32
+    assert with_day_of_year(df).first().doy == 32
+
+
+def test_station_temperatures_are_learnt(spark):
+    rows = standins.station_temperatures(table(spark, SF_SMALL, "events"))
+    _, scores = best_weather_model(rows, split_key="event_id")
+    assert max(r.score for r in scores.collect()) > 0.8
+    assert sum(r.best for r in scores.collect()) == 1
 
 
 def test_colour_classifiers_learn(spark):
