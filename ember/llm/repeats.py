@@ -162,29 +162,52 @@ def digest_ranges(pieces: DataFrame, length: int) -> DataFrame:
             .agg(F.collect_list(F.struct(F.col("off").alias("a"), F.col("off").alias("b"))).alias("ranges")))
 
 
+def merged_spans(spans: DataFrame, length: int) -> DataFrame:
+    """(file, at, spans of window starts) -> the maximal byte ranges they
+    cover, as packed pairs of 32-bit integers."""
+    def merge(it):
+        for batch in it:
+            packed = []
+            for found in batch.column(2):
+                found = found.values
+                first = found.field("a").to_numpy()
+                order = np.argsort(first, kind="stable")
+                first = first[order]
+                reach = np.maximum.accumulate(found.field("b").to_numpy()[order] + length)
+                new = np.flatnonzero(np.concatenate(([True], first[1:] > reach[:-1])))
+                last = np.append(new[1:], len(first)) - 1
+                packed.append(np.stack((first[new], reach[last]), axis=1).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
+                                             names=["file", "at", "spans"])
+
+    return spans.mapInArrow(merge, "file long, at long, spans binary")
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
                    shard_bytes: int = 1 << 20, most_segments: int = 2048,
-                   broadcast_rows: int = 1 << 18) -> DataFrame:
+                   broadcast_bytes: int = 64 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes
     left) for every row. ``shard_bytes`` is about the text of one suffix
     array, ``most_segments`` the different segments of one gram that go into
-    one, ``broadcast_rows`` bounds the texts' row lists that may be broadcast."""
+    one, ``broadcast_bytes`` bounds the measured lists of places that may be
+    broadcast to the texts; beyond it texts and places are joined by shuffle."""
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     texts = located(docs).select(F.col("__file").alias("file"), F.col("__at").alias("at"),
                                  F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     whole = texts.select("file", "at", "text")
     cut = materialize(segments(whole, length), "repeat-segments")
-    often = cut.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    often = materialize(cut.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"),
+                        "repeat-grams")
     twice = materialize(cut.join(often, "gram"), "repeat-twice")
     kinds = materialize(twice.groupBy("gram", "body").agg(
         F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("file", "at", "first", "last"))), "repeat-kinds")
-    mixed = kinds.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1")
+    mixed = materialize(kinds.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1"), "repeat-mixed")
     wanted = kinds.join(mixed, "gram").groupBy("file", "at").agg(
         F.collect_list(F.struct("gram", "body", "first", "last", "c")).alias("want"))
     wanted = materialize(wanted, "repeat-wanted")
-    n_wanted = wanted.count()
-    wanted = F.broadcast(wanted) if n_wanted <= broadcast_rows else wanted
+    n_wanted = wanted.agg(F.sum(F.size("want") + 1)).first()[0] or 0
+    wanted = F.broadcast(wanted) if 56 * n_wanted <= broadcast_bytes else wanted
 
     def fetch(it):
         for batch in it:
@@ -208,8 +231,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
              .groupBy("file", "at").agg(F.collect_list(F.struct(
                  (F.col("first") + F.col("r.a")).alias("a"), (F.col("first") + F.col("r.b")).alias("b")))
                  .alias("spans")))
-    spans = materialize(spans, "repeat-spans")
-    spans = F.broadcast(spans) if spans.count() <= broadcast_rows else spans
+    spans = materialize(merged_spans(spans, length), "repeat-spans")
+    n_spans = spans.agg(F.sum(F.length("spans") + 64)).first()[0] or 0
+    spans = F.broadcast(spans) if n_spans <= broadcast_bytes else spans
 
     def strip(it):
         for batch in it:
@@ -217,16 +241,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             n = batch.num_rows
             removed, runs, digests, kept = np.zeros(n, np.int64), np.zeros(n, np.int64), [], []
             for i, found in enumerate(batch.column(2).to_pylist()):
-                text = raw[offsets[i]:offsets[i + 1]]
+                text = raw[offsets[i]:offsets[i + 1]].tobytes()
                 if found:
-                    edge = np.zeros(len(text) + 1, np.int64)
-                    np.add.at(edge, [s["a"] for s in found], 1)
-                    np.add.at(edge, [s["b"] + length for s in found], -1)
-                    gone = np.cumsum(edge[:-1]) > 0
-                    removed[i] = gone.sum()
-                    runs[i] = (np.diff(gone.astype(np.int8), prepend=0) == 1).sum()
-                    text = text[~gone]
-                kept.append(text.tobytes())
+                    spans = np.frombuffer(found, np.int32).reshape(-1, 2)
+                    removed[i], runs[i] = int((spans[:, 1] - spans[:, 0]).sum()), len(spans)
+                    ends = [0, *spans.reshape(-1).tolist(), len(text)]
+                    text = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2]))
+                kept.append(text)
                 digests.append(hashlib.sha256(kept[-1]).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.diff(offsets)), pa.array(removed), pa.array(runs),

@@ -107,7 +107,7 @@ def brute_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"most_segments": 1, "shard_bytes": 1}, {"broadcast_rows": 0, "shard_bytes": 1}])
+@pytest.mark.parametrize("options", [{}, {"most_segments": 1, "shard_bytes": 1}, {"broadcast_bytes": 0, "shard_bytes": 1}])
 def test_repeats(spark, options):
     rows = edge_rows()[:12] + edge_rows()[13:]
     passage = prose(9, 50)
