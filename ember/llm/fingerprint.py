@@ -39,7 +39,7 @@ SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 def sketch(h: np.ndarray, at: np.ndarray, fraction: float):
     """Kept hashes (top WIDTH bytes, sorted per text) and their offsets."""
-    keep = h < np.uint64(int(fraction * 2 ** 64))
+    keep = h <= np.uint64(int(fraction * 2 ** 64) - 1)
     some = np.flatnonzero(np.diff(at))
     keep[at[some]] = True  # the least hash of every text with a word
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))[keep]
@@ -108,7 +108,8 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     n = partitions or shuffle_width(spark)
-    cuts = sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.25 / n))) if n > 1 else []
+    cuts = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    cuts = sorted(set(cuts)) or [0.0]  # at least one, as Bucketizer wants
     cut = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="at", outputCol="bucket")
     # descending ids; a null id sorts into the last block
     dealt = (cut.transform(docs.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(-float("inf")))))

@@ -195,7 +195,7 @@ def test_quality_edge_cases(spark):
 def test_warc_round_trip_and_look_up(spark):
     rows = [(i, f"http://h{i % 3}.example.com:8{i % 2}0/p/{i}?q={i}", f"<p>{i % 11}é</p>") for i in range(60)]
     rows += [(100, None, None), (101, "http://A.b/\r\nx y?é#", ""), (None, "x", None), (5, rows[5][1], rows[5][2]),
-             (7, "http://[bad", "<p>alone</p>")]
+             (207, "http://[bad", "<p>alone</p>")]
     pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, key string")
     archive = warc.write(pages, block_lines=4, partitions=3)
     got = warc.read(spark, archive, archive.captures).collect()
