@@ -4,13 +4,15 @@ Each adapter is a Spark transformation of a whole table (see FIXTURES.md §3):
 
 * comments      <- events   (subreddit = event_type, score = value, author = user_id)
 * observations  <- events   (station = user_id, date = yyyymmdd of ts,
-                             TMAX = purchase value, TMIN = view value)
+                             TMAX = purchase value, TMIN = view value;
+                             every eleventh event id is flagged)
 * log lines     <- events   (host = user_id, path = /event_type, bytes = whole value)
 * points        <- events   ("x y" text with x = user_id, y = value)
 * page views    <- events   (one file per hour; lang = fr for errors else en,
                              title = event id, "Special:" prefix for signups,
                              views = value in cents)
-* link graph    <- region -> nation -> customer -> order -> part
+* temperatures  <- events   (station = user_id, place and season from ids and ts)
+* link graph    <- region -> nation -> customer -> order -> part, links back
 * colours       <- part     (R, G, B from key and size; label = dominant channel)
 """
 
