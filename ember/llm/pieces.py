@@ -127,6 +127,7 @@ def packed_chunks(rows: DataFrame, buckets: int) -> DataFrame:
 def segment(packs: DataFrame, path: str) -> DataFrame:
     """Segment every distinct chunk of a bucket once; one answer per pack."""
     def group(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what earlier groups left
         model = load(path)
         asked = [_unpack(b).column(0) for b in table.column("body").to_pylist()]
         words = pa.chunked_array([c for a in asked for c in a.chunks], pa.large_string()).unique()
@@ -165,6 +166,7 @@ def encoded(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     columns = DIGESTS | {name: OUTPUTS[name] for name in outputs}
 
     def join(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         model = load(path)
         place: dict[str, int] = {}
         ids: list[list[int]] = []

@@ -32,7 +32,7 @@ from .words import (_BYTE, LOWER, distinct_per_text, slabs, span_hash, utf8, wor
 WORD_BUCKETS, SHAPE_BUCKETS, DIM, NONZERO, WINDOW, BLOCK = 1 << 14, 1 << 10, 32, 2, 2, 256
 ROWS = WORD_BUCKETS + SHAPE_BUCKETS
 FEATURES = 4 * DIM + 2
-SLAB = 2 << 20
+SLAB = 1 << 18
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[ord("a"):ord("z") + 1] = ord("a")

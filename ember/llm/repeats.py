@@ -34,7 +34,7 @@ from .suffix import permuted_lcp, suffix_array
 from .words import _BASE, _BYTE, _INVERSE, mix, powers, slabs, span_hash, utf8
 
 GRAM = 64
-SLAB = 1 << 21
+SLAB = 1 << 19
 SEGMENT = "file long, at long, gram long, body long, first int, last int"
 RANGES = "gram long, body long, ranges array<struct<a:int,b:int>>"
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .words import mix, slabs, span_hash, utf8
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
-SLAB = 1 << 20
+SLAB = 1 << 18
 CACHE_ENTRIES = 500_000
 
 
@@ -210,7 +210,7 @@ def frequent(docs: DataFrame, path: str, sent, size: int, per_task: int) -> list
                 if whole is not None:
                     first, last = first[~whole], last[~whole]
                 _, at, counts = np.unique(hashes(point, first, last), return_index=True, return_counts=True)
-                often = counts > 2
+                often = counts > 1
                 for a, b, c in zip(first[at[often]].tolist(), last[at[often]].tolist(), counts[often].tolist()):
                     held[text[a:b]] = held.get(text[a:b], 0) + c
                 if len(held) > 4 * per_task:
