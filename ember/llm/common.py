@@ -32,6 +32,14 @@ def fixed_binary(matrix: np.ndarray) -> pa.Array:
     return binary_column(np.ascontiguousarray(matrix).reshape(-1), at)
 
 
+def small_batches(it, rows: int = 256):
+    """The record batches of ``it`` in slices of at most ``rows`` rows, for
+    steps that turn long values into Python objects."""
+    for batch in it:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

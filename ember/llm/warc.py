@@ -34,7 +34,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch_path, shuffle_width
+from .common import materialize, scratch_path, shuffle_width, small_batches
 from .exact_dedup import NO_ID, located
 
 DIRECTORY = "first_key string, warc string, cdx string, directory string, n long"
@@ -96,36 +96,41 @@ class Archive:
 
 def write(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
           least_bytes: int = 0, block_lines: int = 1024, partitions: int | None = None,
-          date: str = "2025-01-01T00:00:00Z") -> Archive:
+          broadcast_rows: int = 1 << 18, date: str = "2025-01-01T00:00:00Z") -> Archive:
     """Write every page as a record. Equal payloads of at least ``least_bytes``
-    share one response, that of the greatest page id."""
+    share one response, that of the greatest page id. Up to ``broadcast_rows``
+    revisits are broadcast to the pages, more are joined by shuffle."""
     spark = pages.sparkSession
     rows = located(pages).select(F.col("__file").alias("file"), F.col("__at").alias("at"),
                                  F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
                                  F.col(html_col).alias("html"))
 
-    def describe(it):
-        for batch in it:
-            out = []
-            for file, at, page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                payload = (html or "").encode()
-                uid = f"{'' if page is None else page}:{file & (1 << 64) - 1:x}:{at}"
-                out.append({"file": file, "at": at, "id": NO_ID if page is None else page, "uid": uid,
-                            "key": f"{surt(url)} {uid}", "digest": sha1(payload), "bytes": len(payload)})
-            yield pa.RecordBatch.from_pylist(out, CAPTURE)
-
-    captures = materialize(rows.mapInArrow(
-        describe, "file long, at long, id long, uid string, key string, digest string, bytes long"), "warc-captures")
-    first = (captures.filter(F.col("bytes") >= least_bytes).groupBy("digest")
-             .agg(F.max(F.struct("id", "uid")).alias("kept"), F.count("*").alias("n")).filter("n > 1")
-             .select("digest", F.col("kept.uid").alias("response")))
-    roles = captures.join(first, "digest", "left").select(
-        "file", "at", "uid", "key", "digest",
-        F.when((F.col("bytes") >= least_bytes) & (F.col("response") != F.col("uid")), F.col("response"))
-        .alias("refers"))
+    def describe(whole: bool):
+        """Keys and digests of the pages, with url and html if ``whole``."""
+        def describe_batches(it):
+            for batch in small_batches(it):
+                out = []
+                for file, at, page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
+                    payload = (html or "").encode()
+                    uid = f"{'' if page is None else page}:{file & (1 << 64) - 1:x}:{at}"
+                    out.append({"id": NO_ID if page is None else page, "uid": uid, "key": f"{surt(url)} {uid}",
+                                "digest": sha1(payload), "bytes": len(payload),
+                                **({"url": url, "html": html} if whole else {})})
+                yield pa.RecordBatch.from_pylist(out, PAGE if whole else CAPTURE)
+        return describe_batches
+
+    captures = materialize(rows.mapInArrow(describe(False), CAPTURE_SCHEMA), "warc-captures")
+    large = captures.filter(F.col("bytes") >= least_bytes)
+    first = (large.groupBy("digest").agg(F.max(F.struct("id", "uid")).alias("kept"), F.count("*").alias("n"))
+             .filter("n > 1").select("digest", F.col("kept.uid").alias("refers")))
+    revisits = materialize(large.join(first, "digest").filter("uid <> refers").select("uid", "refers"),
+                           "warc-revisits")
+    revisits = F.broadcast(revisits) if revisits.count() <= broadcast_rows else revisits
+    roles = rows.mapInArrow(describe(True), CAPTURE_SCHEMA + ", url string, html string").join(
+        revisits, "uid", "left")
     folder = scratch_path(spark, "warc")
     n = partitions or shuffle_width(spark)
-    ordered = (rows.join(roles, ["file", "at"]).select("key", "uid", "url", "html", "digest", "refers")
+    ordered = (roles.select("key", "uid", "url", "html", "digest", "refers")
                .repartitionByRange(n, "key").sortWithinPartitions("key"))
 
     def store(it):
@@ -142,7 +147,7 @@ def write(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", ht
             place += len(block)
             lines = []
 
-        for batch in it:
+        for batch in small_batches(it):
             for key, uid, url, html, digest, refers in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     out, cdx = (system.open_output_stream(name + e, compression=None)
@@ -168,8 +173,10 @@ def write(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", ht
     return Archive(materialize(ordered.mapInArrow(store, DIRECTORY), "warc-directory"), captures)
 
 
-CAPTURE = pa.schema([("file", pa.int64()), ("at", pa.int64()), ("id", pa.int64()), ("uid", pa.string()),
-                     ("key", pa.string()), ("digest", pa.string()), ("bytes", pa.int64())])
+CAPTURE_SCHEMA = "id long, uid string, key string, digest string, bytes long"
+CAPTURE = pa.schema([("id", pa.int64()), ("uid", pa.string()), ("key", pa.string()), ("digest", pa.string()),
+                     ("bytes", pa.int64())])
+PAGE = pa.schema([*CAPTURE, ("url", pa.string()), ("html", pa.string())])
 FOUND = "key string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
