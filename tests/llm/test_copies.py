@@ -1,6 +1,7 @@
 """Exact, near and passage deduplication against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -140,3 +141,78 @@ def test_lines(spark):
 def test_line_dedup_is_native(spark):
     plan = line_dedup.dedup_lines(edge_docs(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def edit_distance(a, b):
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        before = row
+    return before[-1]
+
+
+def similar(a, b):
+    return edit_distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)
+
+
+def edited(rng, text, edits):
+    chars = list(text)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(chars)), rng.randrange(3)
+        if kind == 2 and len(chars) > 2:
+            del chars[at]
+        else:
+            chars[at:at + (kind == 0)] = rng.choice("abcdefgh")
+    return " ".join("".join(chars).split())
+
+
+def line_labels(spark, lines, **options):
+    """Number of the first line of each line's group, from single-line documents that stay or go."""
+    rows = [(i, line, "en", "a") for i, line in enumerate(lines)]
+    return {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(edge_docs(spark, rows), **options).collect()}
+
+
+def test_lines_of_one_to_fifty_words_with_a_change_are_met(spark):
+    rng = random.Random(11)
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+
+    lines = []
+    for n in (1, 2, 3, 5, 8, 10, 12, 16, 20, 30, 50):
+        for kind in ("letter", "word") * 8:
+            x = y = ""
+            while x == y or not similar(x, y):
+                words = [word() for _ in range(n)]
+                x, at = " ".join(words), rng.randrange(n)
+                y = edited(rng, x, 1) if kind == "letter" else " ".join([*words[:at], word(), *words[at + 1:]])
+                if kind == "word" and n < 5:
+                    y = edited(rng, x, 1)
+            lines += [x, y]
+    gone = line_labels(spark, lines)
+    assert [lines[i:i + 2] for i in range(0, len(lines), 2) if not gone[i + 1] and not gone[i]] == []
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_short_lines_equal_brute_force(spark, block):
+    """All edits that the similarity allows, few letters, so that keys are shared by unlike lines."""
+    rng, lines = random.Random(12), []
+    for size in range(1, 21):
+        for _ in range(4):
+            x = " ".join("".join(rng.choice("abcdefgh ") for _ in range(size)).split()) or "a"
+            lines += [x, edited(rng, x, 1 + rng.randrange(max(1, size // 5))), edited(rng, x, max(1, size // 5))]
+    lines = [x for x in lines if x and len(x) <= 25]
+    parent = list(range(len(lines)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, x in enumerate(lines):
+        for b in range(a):
+            if (len(x) <= 20 or len(lines[b]) <= 20) and similar(x, lines[b]):
+                p, q = sorted((find(a), find(b)))
+                parent[q] = p
+    assert line_labels(spark, lines, block=block) == {i: int(find(i) != i) for i in range(len(lines))}
