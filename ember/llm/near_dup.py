@@ -17,8 +17,12 @@ forest of confirmed links is emitted. No candidate pair that could join two comp
 
 Defined results: a null text is empty; a text without words has an empty set
 and is linked with nothing; fewer words than ``k`` give one shingle of all
-words; repeated rows are one node; a row with a null id is never linked, its
-component is null and it is kept. Other columns of the input are not read.
+words; rows with equal sets are one node, whatever their ids, and rows that
+share an id but not the set are different nodes. A component's id is the least
+id in it; ``kept`` marks the rows with that id and the set of the row that
+stays. A row with a null id is linked, but its component is null and it is
+marked as kept. ``stays`` (used by ``kept_rows``) marks one row per component,
+the least by id (null last) and locator. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -225,7 +229,7 @@ def block_links(members: DataFrame, threshold: float, miss: float, n_hashes: int
 
 
 def shingle_table(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id -> sorted distinct shingle hashes as packed 64-bit integers."""
+    """(node, text) -> node, sorted distinct shingle hashes as packed 64-bit integers."""
     def batches(it):
         for batch in it:
             for lo, hi, h, at in shingle_sets(batch.column(1), k):
@@ -259,21 +263,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     percent: int = 80, bands: int = 32, rows: int = 5, batch: int = 32,
                     miss: float = 1e-6, small_bucket: int = 64, block: int = 2048,
                     broadcast_bytes: int = 32 << 20, broadcast_ids: int = 1 << 21) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept and the
-    row's content locator (file, at).
+    """One row per input row: doc_id, n_shingles, component_id, kept, stays and
+    the row's content locator (file, at).
 
     A pair at the threshold is missed by the bands with probability
     (1 - 0.8 ** rows) ** bands (about 3e-6 here) and by the pruning with at
     most about ``miss`` per batch. ``small_bucket`` and ``block`` only choose
     where the pairs of a bucket are compared. ``broadcast_bytes`` bounds the
     measured shingle sets, ``broadcast_ids`` the counted ids that may be
-    broadcast for the exact check; beyond them the joins shuffle."""
+    broadcast for the exact check, a text's node and locator being counted as
+    four; beyond them the joins shuffle."""
     docs = located(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                                 F.col("__file").alias("file"), F.col("__at").alias("at"))
     signed = materialize(signatures(docs, k, bands, rows), "nd-signatures")
-    classes = materialize(signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
-                          .groupBy("set_key").agg(F.min("doc_id").alias("node")), "nd-classes")
-    nodes = materialize(signed.join(classes, (signed.set_key == classes.set_key) & (signed.doc_id == classes.node))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "at")
+    classes = materialize(signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min(row).alias("best"))
+                          .select("set_key", F.monotonically_increasing_id().alias("node"), "best"), "nd-classes")
+    place = classes.select("set_key", "node", F.col("best.file").alias("file"), F.col("best.at").alias("at"))
+    nodes = materialize(signed.join(place, ["set_key", "file", "at"])
                         .select("node", "n_shingles", "bands", "sig"), "nd-nodes")
     keys = nodes.select("node", F.explode("bands").alias("key"))
     rows_of = materialize(keys.join(keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "key"),
@@ -287,12 +294,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return bayes_filter(both, percent / 100, miss, bands * rows, batch)
 
     def sets_of(ends: DataFrame) -> DataFrame:
-        ends = materialize(ends.distinct(), "nd-ends")
-        ends = F.broadcast(ends) if ends.count() <= broadcast_ids else ends
-        return materialize(shingle_table(docs.join(ends, "doc_id", "left_semi"), k), "nd-sets")
+        ends = materialize(place.join(ends.distinct(), "node").select("node", "file", "at"), "nd-ends")
+        ends = F.broadcast(ends) if 4 * ends.count() <= broadcast_ids else ends
+        return materialize(shingle_table(docs.join(ends, ["file", "at"]).select("node", "text"), k), "nd-sets")
 
     def verified(alive: DataFrame) -> DataFrame:
-        sets = sets_of(alive.select(F.col("a").alias("doc_id")).unionAll(alive.select("b")))
+        sets = sets_of(alive.select(F.col("a").alias("node")).unionAll(alive.select("b")))
         size = sets.agg(F.sum(F.length("shingles"))).first()[0] or 0
         sets = F.broadcast(sets) if size <= broadcast_bytes else sets
         return materialize(exact_filter(
@@ -318,25 +325,34 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                   .filter("label <> m AND node < q").select(F.col("node").alias("p"), "q"))
     more = verified(materialize(survivors(met.join(tested, ["a", "b"], "left_anti")), "nd-survivors"))
     if not many.isEmpty():
-        sets = sets_of(many.select(F.col("node").alias("doc_id")))
+        sets = sets_of(many.select("node"))
         more = materialize(more.unionAll(block_links(
             many.join(signature_of, "node").join(sets, "node"), percent / 100, miss, bands * rows, batch, percent,
             block)), "nd-links")
     if not more.isEmpty():
         labels = components(links.unionAll(more))
-    found = classes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("label"))
-    plain = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    return (signed.select("doc_id", "n_shingles", F.when(~plain, F.col("set_key")).alias("set_key"), "file", "at")
+    # the row that stays, of every linked component, then of every set
+    of_set = F.struct("best", "set_key")
+    linked = classes.join(labels, "node").select("node", "label", of_set.alias("own"))
+    stay = linked.groupBy("label").agg(F.min("own").alias("stay"))
+    stay = linked.join(stay, "label").select("node", "stay")
+    found = classes.join(stay, "node", "left").select("set_key", F.coalesce("stay", of_set).alias("stay"))
+    first = F.col("stay.best")
+    alone = F.col("stay").isNull()
+    return (signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key"),
+                          "file", "at")
             .join(found, "set_key", "left")
-            .select("file", "at", "doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce(first["doc_id"], "doc_id")))
+            .select("file", "at", "doc_id", "n_shingles", "component_id",
+                    (alone | F.col("doc_id").isNull() | ((F.col("doc_id") == F.col("component_id"))
+                     & (F.col("set_key") == F.col("stay.set_key")))).alias("kept"),
+                    (alone | ((F.col("file") == first["file"]) & (F.col("at") == first["at"]))).alias("stays")))
 
 
 def kept_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, one per group, with all their columns."""
+    """The rows of ``docs`` that stay, exactly one per group, with all their columns."""
     docs = stored(docs)
-    dropped = near_duplicates(docs, **options).filter("NOT kept").select(
+    dropped = near_duplicates(docs, **options).filter("NOT stays").select(
         F.col("file").alias("__file"), F.col("at").alias("__at"))
     return located(docs).join(dropped, ["__file", "__at"], "left_anti").select(
         *(F.col(f"`{c}`") for c in docs.columns))

@@ -216,3 +216,18 @@ def test_short_lines_equal_brute_force(spark, block):
                 p, q = sorted((find(a), find(b)))
                 parent[q] = p
     assert line_labels(spark, lines, block=block) == {i: int(find(i) != i) for i in range(len(lines))}
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_ids": 0, "broadcast_bytes": 0, "small_bucket": 1, "block": 2}])
+def test_near_duplicates_with_null_and_shared_ids(spark, options):
+    base, other, clean = prose(31), prose(32), prose(33)
+    rows = [(None, base), (None, base + " tail"), (None, base), (5, other), (5, clean), (3, other + " tail"),
+            (7, prose(34)), (7, prose(34) + " tail"), (None, ""), (None, None)]
+    docs = edge_docs(spark, [(*r, "en", "a") for r in rows])
+    got = near_dup.near_duplicates(docs, k=4, **options).collect()
+    by_size = sorted((r.doc_id, r.component_id, r.kept) for r in got if r.doc_id is not None)
+    assert by_size[:3] == [(3, 3, True), (5, 3, False), (5, 5, True)]
+    assert sorted(r[2] for r in by_size[3:]) == [False, True] and {r[:2] for r in by_size[3:]} == {(7, 7)}
+    left = [(r.doc_id, r.text) for r in near_dup.kept_rows(docs, k=4, **options).collect()]
+    assert sum(i is None and bool(t) for i, t in left) == 1 and sum(i == 7 for i, _ in left) == 1
+    assert (5, clean) in left and (3, other + " tail") in left and (5, other) not in left and len(left) == 6
