@@ -3,9 +3,13 @@
 A sketch keeps every distinct shingle hash below a fixed fraction of the hash
 range, so its size follows the text's, sketches of parts merge by set union,
 and both likeness (Jaccard) and containment can be estimated between texts of
-very unequal length. The least hash is kept as well, so no text with a word
-has an empty sketch. A fingerprint is the base64 text of the sorted hashes,
-six bytes each.
+very unequal length. A text without such a hash has its least hash alone as
+fingerprint, so no text with a word has an empty one. That hash lies over the
+threshold and is no part of the sketch: ``members`` leaves it out, as merging
+and estimating from fingerprints must. A sketch of few hashes estimates
+poorly, so likeness and containment in the result rows come from all shingles
+of the texts at hand, not from sketches. A fingerprint is the base64 text of the
+sorted hashes, six bytes each.
 
 Each text is also compared with its neighbour in descending id order and with
 an edited text whose second half comes from that neighbour. Rows are dealt to
@@ -46,14 +50,19 @@ def sketch(h: np.ndarray, at: np.ndarray, fraction: float):
     return distinct_per_text(h[keep] >> np.uint64(64 - 8 * WIDTH), owner, len(at) - 1)
 
 
-def sketches(column: pa.Array, k: int, fraction: float):
-    """Sketches of all texts of a column: (hashes, offsets)."""
+def members(h: np.ndarray, at: np.ndarray, fraction: float):
+    """The sketches without hashes over the threshold: (hashes, offsets)."""
+    keep = h <= np.uint64((int(fraction * 2 ** 64) - 1) >> (64 - 8 * WIDTH))
+    return h[keep], np.concatenate((np.zeros(1, np.int64), np.cumsum(keep)))[at]
+
+
+def full_sets(column: pa.Array, k: int):
+    """All distinct shingle hashes of all texts of a column: (hashes, offsets)."""
     parts, ends, total = [], [np.zeros(1, np.int64)], 0
     for _, _, h, at in shingle_sets(column, k):
-        kept, kat = sketch(h, at, fraction)
-        parts.append(kept)
-        ends.append(kat[1:] + total)
-        total += len(kept)
+        parts.append(h)
+        ends.append(at[1:] + total)
+        total += len(h)
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.concatenate(ends)
 
 
@@ -69,7 +78,7 @@ def decode(fingerprint: str) -> np.ndarray:
 
 
 def compare(x, xat, y, yat):
-    """Likeness and containment (of x in y) of the sketches row by row."""
+    """Likeness and containment (of x in y) of the sets row by row."""
     n = len(xat) - 1
     nx, ny = np.diff(xat), np.diff(yat)
     owner = np.concatenate((np.repeat(np.arange(n), nx), np.repeat(np.arange(n), ny)))
@@ -87,11 +96,13 @@ def _rows(ids, texts, k, fraction):
     """Result rows of texts[:-1], each with the next text as its neighbour."""
     own, after = texts[:-1], texts[1:]
     edited = [t[:len(t) - len(t) // 2] + u[:len(t) // 2] for t, u in zip(own, after)]
-    h, at = sketches(pa.array(texts, pa.large_string()), k, fraction)
-    e, eat = sketches(pa.array(edited, pa.large_string()), k, fraction)
+    h, at = full_sets(pa.array(texts, pa.large_string()), k)
+    e, eat = full_sets(pa.array(edited, pa.large_string()), k)
     n = len(own)
     near_edited, inside = compare(h[:at[n]], at[:n + 1], e, eat)
     near_next, _ = compare(h[:at[n]], at[:n + 1], h[at[1]:], at[1:] - at[1])
+    h, at = sketch(h, at, fraction)
+    e, eat = sketch(e, eat, fraction)
     return pa.RecordBatch.from_arrays([
         pa.array(ids, pa.int64()), pa.array([len(t) for t in own], pa.int64()),
         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),

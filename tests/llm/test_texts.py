@@ -115,6 +115,28 @@ def test_sketch_estimates_likeness_and_decodes():
     assert fingerprint.decode(fingerprint.encode(sx, ax)[0]).tolist() == sx.tolist()
 
 
+def test_short_texts_at_the_fraction_in_use(spark):
+    """Likeness and containment against brute force; few of these texts have a hash under 1/8."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(1 + i)), "en", "a") for i in range(40)]
+    rows += [(100 + i, " ".join(f"w{j}" for j in range(6 + i)), "en", "a") for i in range(20)]
+    texts = [t for _, t, *_ in sorted(rows, reverse=True)]
+    got = {r.doc_id: r for r in fingerprint.fingerprints(edge_docs(spark, rows), partitions=2).collect()}
+    for (i, t, *_), after in zip(sorted(rows, reverse=True), texts[1:] + texts[:1]):
+        edited = t[:len(t) - len(t) // 2] + after[:len(t) // 2]
+        x, y, z = map(brute_sets, (t, edited, after))
+        expected = (len(x & y) / len(x | y), len(x & z) / len(x | z), len(x & y) / len(x))
+        assert (got[i].near_edited, got[i].near_next, got[i].contained_edited) == pytest.approx(expected)
+        assert got[i].n_hashes > 0
+
+
+def test_members_of_parts_merge():
+    rng = np.random.default_rng(6)
+    parts = [np.sort(rng.integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2)) for _ in range(60)]
+    whole = np.sort(np.concatenate(parts))
+    of = [fingerprint.members(*fingerprint.sketch(x, np.array([0, len(x)]), 1 / 8), 1 / 8)[0] for x in (*parts, whole)]
+    assert any(not len(x) for x in of) and sorted(np.concatenate(of[:-1])) == sorted(of[-1])
+
+
 def test_rounding_keeps_word_mass():
     rng = np.random.default_rng(1)
     size = rng.integers(1, 50, 400)
