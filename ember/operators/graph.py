@@ -54,6 +54,19 @@ def adjacency_edges(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.select(src.alias("source"), F.explode(dests).alias("destination"))
 
 
+def adjacency_lines(edges: DataFrame, per_line: int = 4096) -> DataFrame:
+    """The ``"s: d1 d2 ..."`` lines (``value``) that ``adjacency_edges`` reads. A
+    node of more than ``per_line`` edges gets several lines, by a hash of the
+    destination, so no group grows with the data; equal edges are written once."""
+    counts = edges.groupBy("source").agg(F.count("*").alias("c")).where(F.col("c") > per_line)
+    parts = F.coalesce(F.ceil(F.col("c") / per_line), F.lit(1))
+    # at most one large node per ``per_line`` edges
+    dealt = edges.join(F.broadcast(counts), "source", "left").withColumn(
+        "part", F.pmod(F.xxhash64("destination"), parts))
+    return (dealt.groupBy("source", "part").agg(F.collect_set("destination").alias("to"))
+            .select(F.concat_ws(" ", F.concat("source", F.lit(":")), F.concat_ws(" ", "to")).alias("value")))
+
+
 def _empty(spark) -> DataFrame:
     return spark.createDataFrame([], KNOWN_SCHEMA)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.graph import adjacency_edges, shortest_path, shortest_path_known
+from ..operators.graph import adjacency_edges, adjacency_lines, shortest_path, shortest_path_known
 from ..session import scratch_path
 from ..sources import standins
 from ..sources.testdata import table
@@ -74,15 +74,13 @@ def bfs_path(spark, sf_dir):
 
 
 def _adjacency(spark, sf_dir):
-    """The cyclic graph as adjacency text, one ``node: a b c`` line per node,
-    written and scanned again."""
+    """The cyclic graph as adjacency text, ``node: a b c`` lines of bounded
+    length, written and scanned again."""
     t = {n: table(spark, sf_dir, n) for n in ("nation", "customer", "orders", "lineitem")}
     edges = standins.link_edges(t["nation"], t["customer"], t["orders"], t["lineitem"]).unionByName(
         standins.back_links(t["nation"], t["customer"]))
     path = scratch_path(spark, "adjacency")
-    (edges.groupBy("source").agg(F.collect_list("destination").alias("to"))
-     .select(F.concat_ws(" ", F.concat("source", F.lit(":")), F.concat_ws(" ", "to")).alias("value"))
-     .write.text(path))
+    adjacency_lines(edges).write.text(path)
     return adjacency_edges(read_lines(spark, path))
 
 

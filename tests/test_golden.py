@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from ember.operators import aggregate as agg
 from ember.operators import orders as ops
-from ember.operators.graph import adjacency_edges, shortest_path, shortest_path_known
+from ember.operators.graph import adjacency_edges, adjacency_lines, shortest_path, shortest_path_known
 from ember.operators.topk import top_per_group
 from ember.operators.weather import daily_max_range, daily_max_range_sql
 from ember.operators.wordcount import by_frequency, token_count, word_count
@@ -268,6 +268,14 @@ def test_adjacency_edges(spark):
     assert got == [("1", "2"), ("1", "3"), ("3", "4")]
 
 
+def test_adjacency_lines_split_a_large_node(spark):
+    rows = [("hub", f"d{i}") for i in range(200)] + [("hub", "d1"), ("a", "hub"), ("b", "a")]
+    lines = adjacency_lines(spark.createDataFrame(rows, "source string, destination string"), per_line=20)
+    sizes = [len(r.value.split(" ")) - 1 for r in lines.collect()]
+    assert len(sizes) == 13 and max(sizes) <= 40
+    assert sorted(map(tuple, adjacency_edges(lines).collect())) == sorted(set(rows))
+
+
 def test_bfs_hop_limit(spark):
     edges = adjacency_edges(_chain(spark, 8))
     path6 = [r.node for r in shortest_path(edges, "0", "6").orderBy("pos").collect()]
