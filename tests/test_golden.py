@@ -321,3 +321,13 @@ def test_order_lookups_inner_outer_denorm(spark, tmp):
     assert sorted(r.o_orderkey for r in look) == [1, 3]
     keys = spark.createDataFrame([(3,)], "k long")
     assert [r.part_names for r in ops.order_part_names(o, li, p, keys).collect()] == ["blue gear"]
+
+
+def test_bfs_same_node_needs_the_node(spark, tmp):
+    from conftest import SF_SMALL
+    from ember.plans.graph import bfs_same_node
+    for name in ("nation", "customer", "orders", "lineitem"):
+        rows = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        rows.where("n_nationkey <> 3" if name == "nation" else "true").write.parquet(f"{tmp}/{name}.parquet")
+    assert bfs_same_node(spark, tmp).collect() == []
+    assert [tuple(r) for r in bfs_same_node(spark, SF_SMALL).collect()] == [(0, "n3")]
