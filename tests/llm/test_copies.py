@@ -231,3 +231,13 @@ def test_near_duplicates_with_null_and_shared_ids(spark, options):
     left = [(r.doc_id, r.text) for r in near_dup.kept_rows(docs, k=4, **options).collect()]
     assert sum(i is None and bool(t) for i, t in left) == 1 and sum(i == 7 for i, _ in left) == 1
     assert (5, clean) in left and (3, other + " tail") in left and (5, other) not in left and len(left) == 6
+
+
+def test_line_repeated_to_over_four_million_words(spark):
+    """1,600 times 3,000 words in one document, over 2 ** 21 for half of them; its near-copy is met."""
+    line = prose(41, 3000)
+    words = line.split(" ")
+    near = " ".join([*words[:1500], "other", *words[1501:]])
+    rows = [(0, "\n".join([line] * 1600), "en", "a"), (1, near + "\nfresh", "en", "a")]
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(edge_docs(spark, rows)).collect()}
+    assert got == {0: (1600, 1599), 1: (2, 1)}
