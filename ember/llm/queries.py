@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprint, line_dedup, mixture, near_dup, pieces, quality, repeats, token_count, warc
+from . import (exact_dedup, fingerprint, language, lexical, line_dedup, mixture, near_dup, phrases, pieces, quality, repeats,
+               token_count, warc)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +90,69 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op11_phrase_collocations", r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+  FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS words
+      FROM (SELECT lang, unnest(string_split_regex(body, '[.,;:!?\n-\r]')) AS piece FROM d)),
+t AS (SELECT lang, sum(len(words))::BIGINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, size, gram, count(*) AS a FROM (
+        SELECT lang, s.size, unnest(list_transform(range(1, len(words) - s.size + 2),
+                                                   lambda i: words[i:i + s.size - 1])) AS gram
+        FROM p, (SELECT unnest([1, 2, 3, 4]) AS size) s WHERE len(words) >= s.size)
+      GROUP BY lang, size, gram HAVING count(*) >= 30),
+c AS (SELECT lang, gram, size, a, unnest(range(1, size)) AS k FROM g WHERE size > 1),
+x AS (SELECT c.lang, c.gram, c.a, c.k, u.a AS l, v.a AS r,
+             ((2000000::HUGEINT * c.a) // (u.a::HUGEINT + v.a))::BIGINT AS score
+      FROM c JOIN g u ON u.lang = c.lang AND u.gram = c.gram[1:c.k]
+             JOIN g v ON v.lang = c.lang AND v.gram = c.gram[c.k + 1:c.size]),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+i AS (SELECT lang, gram, max(a) AS longer FROM (
+        SELECT lang, a, gram[f:f + m - 1] AS gram FROM (
+          SELECT lang, a, gram, m, unnest(range(1, size - m + 2)) AS f FROM (
+            SELECT *, unnest(range(2, size)) AS m FROM g WHERE size > 2)))
+      GROUP BY lang, gram),
+k AS (SELECT b.lang, array_to_string(b.gram, ' ') AS phrase, b.a, b.l, b.r, b.score FROM b
+      LEFT JOIN i ON i.lang = b.lang AND i.gram = b.gram
+      WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * b.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score
+FROM k JOIN t ON t.lang = k.lang
+QUALIFY rank <= 2000
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_ranked_lexical_search", r"""
+WITH split AS (
+  SELECT 'd' AS kind, row_number() OVER () AS pos, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark),
+terms AS (
+  SELECT kind, pos, id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM split),
+tf AS (SELECT pos, id, term, count(*) AS tf FROM terms WHERE kind = 'd' GROUP BY pos, id, term),
+len AS (SELECT pos, sum(tf)::BIGINT AS n FROM tf GROUP BY pos),
+s AS (SELECT count(*) AS N, sum(n)::BIGINT AS L FROM len),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT DISTINCT id AS item_id, term FROM terms WHERE kind = 'b'),
+hit AS (
+  SELECT q.item_id, tf.pos, tf.id AS doc_id,
+         sum(floor(1000 * ln((2 * s.N + 2)::DOUBLE / (2 * df.df + 1)))::BIGINT
+             * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (100 - 90 + ((90 * len.n * s.N) // s.L)))))::BIGINT AS score
+  FROM q JOIN df USING (term) JOIN tf USING (term) JOIN len USING (pos), s
+  GROUP BY q.item_id, tf.pos, tf.id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM hit WHERE score > 0 QUALIFY rank <= 10
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_language_id")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))

@@ -80,9 +80,17 @@ def slabs(offsets: np.ndarray, size: int = SLAB_BYTES):
         lo = hi
 
 
-def word_bounds(raw: np.ndarray, offsets: np.ndarray):
+def outside(*spans: tuple[int, int]) -> np.ndarray:
+    """Table of the bytes that are no part of a word: those in ``spans`` (ends included)."""
+    table = np.zeros(256, bool)
+    for lo, hi in spans:
+        table[lo:hi + 1] = True
+    return table
+
+
+def word_bounds(raw: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE):
     """Start, end and text index of every word; words never cross texts."""
-    space = _SPACE[raw]
+    space = between[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[offsets] = True
     before = np.empty(len(raw), bool)
@@ -107,6 +115,30 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out + (ends - starts).astype(np.uint64) * _STEP[15])
 
 
+def same_spans(raw: np.ndarray, at: np.ndarray, other: np.ndarray, there: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether raw[at:at + length] and other[there:there + length] are equal, for every span."""
+    def windows(x):
+        padded = np.concatenate((x, np.zeros(8, np.uint8)))
+        return np.ndarray(len(x) + 1, np.uint64, padded, strides=(1,))
+
+    x, y = windows(raw), windows(other)
+    same, left = np.ones(len(at), bool), np.arange(len(at))
+    step = 0
+    while len(left):
+        rest = np.minimum(length[left] - step, 8).astype(np.uint64) * np.uint64(8)
+        unused = np.uint64(64) - rest  # bytes are read in little-endian order
+        same[left] &= (x[at[left] + step] ^ y[there[left] + step]) << unused == 0
+        step += 8
+        left = left[length[left] > step]
+    return same
+
+
+def span_bytes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Bytes of the spans one after another, and their offsets."""
+    at = np.concatenate((np.zeros(1, np.int64), np.cumsum(ends - starts)))
+    return raw[np.repeat(starts - at[:-1], ends - starts) + np.arange(at[-1])], at
+
+
 def word_hashes(raw, offsets, lower: bool = True):
     """Hash and text index of every word, in reading order."""
     starts, ends, owner = word_bounds(raw, offsets)
