@@ -1,18 +1,15 @@
-"""Text functions: word splitting, Java-style tokens, Unicode NFD.
+"""Text functions: word splitting, Java-style tokens, Unicode normal forms.
 
-All splitting is a JVM regular expression inside the plan; only Unicode normal
-forms need Python (Spark has no normalisation function), as an Arrow
-``pandas_udf`` on *distinct* words that are not ASCII, never per token.
+All splitting is a JVM regular expression inside the plan, and normal forms are
+made in the JVM too, on *distinct* words that are not ASCII, never per token.
 """
 
 from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed values (must equal the reference's tokenizer):
 # the separator set is ASCII punctuation (Python's ``string.punctuation``)
@@ -57,27 +54,40 @@ def split_raw(text: Column | str) -> Column:
 # join two letters, that join two digits, that lead a number (currency signs
 # but the cent, # and .) and that end one; marks and format signs stay with
 # the letter or digit before them.
-_MARKS = r"[\p{Mn}\p{Me}\p{Cf}]*"
-_LETTER = rf"(?:[\p{{L}}\p{{Mc}}]{_MARKS})"
-_DIGIT = rf"(?:\p{{N}}{_MARKS})"
-_MID_LETTER = rf"(?:[\p{{Pd}}\p{{Pc}}\"'.\x{{ad}}\x{{2027}}]{_MARKS})"
-_MID_NUMBER = rf"(?:[\"',.\x{{66b}}]{_MARKS})"
+_MARK = r"\p{Mn}\p{Me}\p{Cf}"
+_MID_LETTER = r"[\p{Pd}\p{Pc}\"'.\x{ad}\x{2027}]"
+_MID_NUMBER = r"[\"',.\x{66b}]"
 _CURRENCY = "".join(f"\\x{{{c:x}}}" for c in range(0x110000)
                     if unicodedata.category(chr(c)) == "Sc" and c != 0xA2)
 _PREFIX = f"[#.{_CURRENCY}]"
 _SUFFIX = r"[%&\x{a2}\x{2030}\x{66a}]"
-_WORD = f"{_LETTER}+(?:{_MID_LETTER}{_LETTER}+)*"
-_NUMBER = f"{_DIGIT}+(?:{_MID_NUMBER}{_DIGIT}+)*"
 
-# One left-to-right alternation: a word with the numbers and words glued to
-# it, the same led by a number, a number alone, a stray mark, any other sign.
-LOCALE_TOKEN = "|".join([
-    f"{_WORD}(?:{_NUMBER}{_WORD})*(?:{_NUMBER}{_SUFFIX}?)?",
-    f"{_PREFIX}?(?:{_NUMBER}{_WORD})+(?:{_NUMBER}{_SUFFIX}?)?",
-    f"{_PREFIX}?{_NUMBER}{_SUFFIX}?",
-    r"[\p{Mn}\p{Me}\p{Cf}]",
-    rf"[^\s\p{{Z}}\x{{1c}}-\x{{1f}}\x{{85}}]{_MARKS}",
-])
+
+def _locale_token(keep: str) -> str:
+    """One left-to-right alternation: a word with the numbers and words glued to
+    it, the same led by a number, a number alone, a stray mark, any other sign.
+
+    ``keep`` is ``"+"`` for possessive loops, which the JVM runs without
+    recursion (a word may have any length), or ``""`` for the plain ones of RE2.
+    No loop ever has to give back what it took: what may follow it cannot
+    start with anything that the loop takes."""
+    marks = f"[{_MARK}]*{keep}"
+    letters = rf"[\p{{L}}\p{{Mc}}][\p{{L}}\p{{Mc}}{_MARK}]*{keep}"
+    digits = rf"\p{{N}}[\p{{N}}{_MARK}]*{keep}"
+    word = f"{letters}(?:{_MID_LETTER}{marks}{letters})*{keep}"
+    number = f"{digits}(?:{_MID_NUMBER}{marks}{digits})*{keep}"
+    return "|".join([
+        f"{word}(?:{number}{word})*{keep}(?:{number}{_SUFFIX}?)?",
+        f"{_PREFIX}?(?:{number}{word})+{keep}(?:{number}{_SUFFIX}?)?",
+        f"{_PREFIX}?{number}{_SUFFIX}?",
+        f"[{_MARK}]",
+        rf"[^\s\p{{Z}}\x{{1c}}-\x{{1f}}\x{{85}}]{marks}",
+    ])
+
+
+LOCALE_TOKEN = _locale_token("+")
+#: The same tokens for engines without possessive loops (DuckDB's RE2).
+LOCALE_TOKEN_RE2 = _locale_token("")
 
 
 def locale_tokens(text: Column | str, keep_punctuation: bool = True) -> Column:
@@ -88,12 +98,16 @@ def locale_tokens(text: Column | str, keep_punctuation: bool = True) -> Column:
     return tokens if keep_punctuation else F.filter(tokens, lambda t: t.rlike(r"[\p{L}\p{N}]"))
 
 
-def normaliser(form: str = "NFD"):
-    """Arrow UDF for a Unicode normal form (NFC, NFD, NFKC, NFKD)."""
-    def convert(s: pd.Series) -> pd.Series:
-        return s.map(lambda w: None if w is None else unicodedata.normalize(form, w))
-
-    return F.pandas_udf(convert, T.StringType())
+def normal_form(col: Column, form: str = "NFD") -> Column:
+    """Unicode normal form of a text, made in the JVM by the ICU library that
+    Spark brings for its collations. (Grouping by ``COLLATE UNICODE`` would not
+    do: it also takes words for equal that differ in ignorable signs.)"""
+    if form not in ("NFC", "NFD", "NFKC", "NFKD"):
+        raise ValueError(f"no normal form {form}")
+    call = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose" if form.endswith("C") else "decompose"),
+                     col, F.lit("K" in form))
+    # ASCII is its own normal form, and nulls stay
+    return F.when(col.isNull() | is_ascii(col), col).otherwise(call)
 
 
 def is_ascii(col: Column) -> Column:

@@ -105,3 +105,27 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [(float(model.coefficients[0]), float(model.intercept), float(model.summary.r2))],
         "slope double, intercept double, r2 double")
+
+
+def elastic_net_line(df: DataFrame, x: str, y: str, reg: float = 0.5, mix: float = 0.1, **settings) -> DataFrame:
+    """Elastic net of y on one feature by MLlib, with the settings of the
+    candidate above unless told otherwise: ``slope, intercept``."""
+    rows = VectorAssembler(inputCols=[x], outputCol="features").transform(df.select(x, y).dropna())
+    model = R.LinearRegression(featuresCol="features", labelCol=y, regParam=reg, elasticNetParam=mix,
+                               **{"tol": 0.000008, "maxIter": 100, **settings}).fit(rows)
+    return df.sparkSession.createDataFrame([(float(model.coefficients[0]), float(model.intercept))],
+                                           "slope double, intercept double")
+
+
+def elastic_net_closed(df: DataFrame, x: str, y: str, reg: float = 0.5, mix: float = 0.1) -> DataFrame:
+    """The same line from sums alone. With both columns scaled to unit variance
+    the slope is the correlation, pulled towards 0 by the L1 share of the
+    penalty and divided by 1 plus its L2 share. Null without variance."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    moments = df.select(a.alias("x"), b.alias("y")).dropna().agg(
+        F.avg("x").alias("mx"), F.avg("y").alias("my"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"),
+        F.covar_pop("x", "y").alias("c"))
+    r, pull = F.try_divide("c", F.col("sx") * F.col("sy")), F.try_divide(F.lit(reg), "sy")
+    beta = F.signum(r) * F.greatest(F.abs(r) - mix * pull, F.lit(0.0)) / (1 + (1 - mix) * pull)
+    line = moments.select("mx", "my", (beta * F.try_divide("sy", "sx")).alias("slope"))
+    return line.select("slope", (F.col("my") - F.col("slope") * F.col("mx")).alias("intercept"))

@@ -16,8 +16,9 @@ output is deterministic (the reference's order was whatever the reduce saw).
 
 Keys may be ``None`` (all orders), a Python list of any type and length
 (``isin``, pushed into the Parquet scan), or a one-column DataFrame of keys
-(left-semi join; at scale Spark adds a runtime filter on the big side). A key
-set too long for the driver belongs in a frame; the caller chooses.
+(broadcast within a bound; beyond it a bitmap of the keys drops most other line
+items before any is shuffled). A key set too long for the driver belongs in a
+frame; the caller chooses.
 """
 
 from __future__ import annotations
@@ -28,20 +29,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from ..sources.store import read_bucketed, write_bucketed
+from .joins import DEFAULT_BROADCAST_BYTES, semi_join
+from .partitioning import output_parts
 
-def _restrict(df: DataFrame, key_col: str, keys) -> DataFrame:
+
+def _restrict(df: DataFrame, key_col: str, keys, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     if keys is None:
         return df
     if isinstance(keys, DataFrame):
-        k = keys.select(F.col(keys.columns[0]).alias(key_col))
-        return df.join(k, key_col, "left_semi")
+        return semi_join(df, key_col, keys, max_broadcast_bytes)
     return df.where(F.col(key_col).isin(list(keys)))
 
 
-def _ordered_names(lineitem: DataFrame, part: DataFrame, keys) -> DataFrame:
+def _ordered_names(lineitem: DataFrame, part: DataFrame, keys,
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """(l_orderkey, names array<string>) ordered by line number, then name."""
     li = _restrict(lineitem.select("l_orderkey", "l_partkey", "l_linenumber"),
-                   "l_orderkey", keys)
+                   "l_orderkey", keys, max_broadcast_bytes)
     items = li.join(part.select("p_partkey", "p_name"),
                     F.col("l_partkey") == F.col("p_partkey"))
     return (items.groupBy("l_orderkey")
@@ -65,18 +70,22 @@ def format_order_line(key, price, names) -> F.Column:
 
 def order_part_names(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
                      keys: Iterable | DataFrame | None = None,
-                     outer: bool = False) -> DataFrame:
+                     outer: bool = False,
+                     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Part names per order.
 
     Returns ``o_orderkey, o_totalprice, part_names, line``. With
     ``outer=True`` orders that have no line items are kept with an empty
     ``part_names``."""
-    o = _restrict(orders.select("o_orderkey", "o_totalprice"), "o_orderkey", keys)
+    o = orders.select("o_orderkey", "o_totalprice")
     if isinstance(keys, DataFrame):
         # the chosen orders are written once; both sides below read that copy
-        o = materialize(o, "orders")
+        keys = keys.select(F.col(keys.columns[0]).alias("o_orderkey"))
+        o = materialize(o.join(keys, "o_orderkey", "left_semi"), "orders")
         keys = o.select("o_orderkey")
-    names = _ordered_names(lineitem, part, keys)
+    else:
+        o = _restrict(o, "o_orderkey", keys)
+    names = _ordered_names(lineitem, part, keys, max_broadcast_bytes)
     joined = o.join(names, F.col("o_orderkey") == F.col("l_orderkey"),
                     "left" if outer else "inner")
     part_names = F.coalesce(F.array_join("names", ", "), F.lit(""))
@@ -102,7 +111,7 @@ def denormalize_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame)
 def write_denormalized(df: DataFrame, path: str, files: int | None = None) -> None:
     """Store the nested table range-partitioned and sorted by order key, so a
     key look-up reads only the row groups whose min/max cover its keys."""
-    n = files or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    n = files or output_parts(df)
     (df.repartitionByRange(n, "o_orderkey")
        .sortWithinPartitions("o_orderkey")
        .write.mode("overwrite").parquet(path))
@@ -116,3 +125,15 @@ def lookup_denormalized(denorm: DataFrame, keys=None) -> DataFrame:
     return d.select("o_orderkey", "o_totalprice", names.alias("part_names"),
                     format_order_line(F.col("o_orderkey"), F.col("o_totalprice"), names)
                     .alias("line"))
+
+
+def bucket_orders(orders: DataFrame, lineitem: DataFrame, orders_path: str, lineitem_path: str,
+                  buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Orders and line items stored in the same buckets of the order key, so
+    that later joins and look-ups by it shuffle neither. As many buckets as the
+    larger table has parts by its bytes, unless given."""
+    n = buckets or max(output_parts(orders), output_parts(lineitem))
+    write_bucketed(orders, orders_path, "o_orderkey", n)
+    write_bucketed(lineitem, lineitem_path, "l_orderkey", n)
+    spark = orders.sparkSession
+    return read_bucketed(spark, orders_path), read_bucketed(spark, lineitem_path)

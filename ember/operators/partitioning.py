@@ -28,10 +28,22 @@ def scan_splits(df: DataFrame) -> int | None:
     files = len(df.inputFiles())
     if not files:
         return None
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     per_task = byte_size(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
-    return max(files, -(-size // per_task))
+    return max(files, -(-input_bytes(df) // per_task))
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files under ``df``, from the plan (no job)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def output_parts(df: DataFrame, part_bytes: int = 256 << 20, least_bytes: int = 4 << 20) -> int:
+    """Number of parts to write ``df`` in: about ``part_bytes`` of input each;
+    of a small input as many as there are cores, if each gets ``least_bytes``."""
+    size = input_bytes(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-size // part_bytes), min(cores, -(-size // least_bytes)))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

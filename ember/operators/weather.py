@@ -58,12 +58,12 @@ def daily_max_range(obs: DataFrame, sort: bool = True,
 
 
 def daily_max_range_sql(spark: SparkSession, obs: DataFrame, sort: bool = True) -> DataFrame:
-    """The same job written as SQL text over a bound view."""
-    order = "ORDER BY date, station" if sort else ""
-    return spark.sql(f"""
+    """The same job written as SQL text over bound views. The ranges are
+    written once, as two steps read them."""
+    ranges = materialize(spark.sql("""
         WITH level1 AS (
           SELECT station, date, observation AS obs, value, count(*) AS n
-          FROM {{recordings}}
+          FROM {recordings}
           WHERE qflag IS NULL AND observation IN ('TMAX', 'TMIN')
           GROUP BY station, date, observation, value),
         level2 AS (
@@ -72,11 +72,12 @@ def daily_max_range_sql(spark: SparkSession, obs: DataFrame, sort: bool = True)
                  max_by(CASE WHEN obs = 'TMAX' THEN n END, CASE WHEN obs = 'TMAX' THEN value END) AS hi_n,
                  min(CASE WHEN obs = 'TMIN' THEN value END) AS lo,
                  min_by(CASE WHEN obs = 'TMIN' THEN n END, CASE WHEN obs = 'TMIN' THEN value END) AS lo_n
-          FROM level1 GROUP BY station, date),
-        ranges AS (
-          SELECT date, station, hi - lo AS range, hi_n * lo_n AS pairs
-          FROM level2 WHERE hi IS NOT NULL AND lo IS NOT NULL),
-        best AS (SELECT date, max(range) AS range FROM ranges GROUP BY date)
+          FROM level1 GROUP BY station, date)
+        SELECT date, station, hi - lo AS range, hi_n * lo_n AS pairs
+        FROM level2 WHERE hi IS NOT NULL AND lo IS NOT NULL""", recordings=obs), "ranges")
+    best = measure(spark.sql("SELECT date, max(range) AS range FROM {ranges} GROUP BY date", ranges=ranges))
+    order = "ORDER BY date, station" if sort else ""
+    return spark.sql(f"""
         SELECT r.date, r.station, r.range, r.pairs
-        FROM ranges r LEFT SEMI JOIN best b ON r.date = b.date AND r.range = b.range
-        {order}""", recordings=obs)
+        FROM {{ranges}} r LEFT SEMI JOIN {{best}} b ON r.date = b.date AND r.range = b.range
+        {order}""", ranges=ranges, best=best.side())

@@ -5,7 +5,7 @@ collapses its own copies of a hot word before the shuffle.
 
 Unicode NFD (the reference's normal form) is applied *after* a first count,
 to the distinct words only, then counts of words with the same NFD are
-summed: the Python step sees each distinct word once, not each occurrence.
+summed: each distinct word is normalised once, not each occurrence, and in the JVM.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fmt import word_count_line
-from ..functions.text import is_ascii, locale_tokens, normaliser, split_raw
+from ..functions.text import locale_tokens, normal_form, split_raw
 from .partitioning import spread
 
 
@@ -28,11 +28,8 @@ def words(df: DataFrame, text: str = "text", repartition: int | None = None) ->
 
 
 def _normalise(counts: DataFrame, form: str) -> DataFrame:
-    """Counts by normal form; ASCII words are their own and reach the Arrow
-    UDF as nulls, so Python works on the others only."""
-    word = F.col("word")
-    changed = normaliser(form)(F.when(~is_ascii(word), word))
-    return (counts.select(F.coalesce(changed, word).alias("word"), "count")
+    """Counts by normal form, summed over the words that share one."""
+    return (counts.select(normal_form(F.col("word"), form).alias("word"), "count")
             .groupBy("word").agg(F.sum("count").alias("count")))
 
 

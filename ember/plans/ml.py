@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.colour import lab_sql
 from ..ml.colour import compare_classifiers, label_indexer, with_lab
-from ..ml.regression import best_regressor, best_weather_model, linear_fit, predictions, with_day_of_year
+from ..ml.regression import (best_regressor, best_weather_model, elastic_net_line, linear_fit, predictions,
+                             with_day_of_year)
 from ..ml.split import train_test_split
 from ..operators.aggregate import histogram_2d
 from ..session import scratch_path
@@ -124,6 +125,20 @@ def price_linear_fit(spark, sf_dir):
     return fit.select(*(F.round(c, 6).alias(c) for c in fit.columns))
 
 
+@register("price_elastic_net", oracle="""
+WITH m AS (
+  SELECT avg(p_partkey) AS mx, avg(p_retailprice) AS my, stddev_pop(p_partkey) AS sx, stddev_pop(p_retailprice) AS sy,
+         corr(p_retailprice, p_partkey) AS r FROM part),
+w AS (SELECT *, sign(r) * greatest(abs(r) - 0.1 * 0.5 / sy, 0) / (1 + 0.9 * 0.5 / sy) * sy / sx AS slope FROM m)
+SELECT round(slope, 3) AS slope, round(my - slope * mx, 1) AS intercept FROM w
+""")
+def price_elastic_net(spark, sf_dir):
+    """Retail price on part key with the elastic net of the regressor search; the
+    SQL is its closed form for one feature (the fit is iterative, so rounded)."""
+    line = elastic_net_line(table(spark, sf_dir, "part"), "p_partkey", "p_retailprice")
+    return line.select(F.round("slope", 3).alias("slope"), F.round("intercept", 1).alias("intercept"))
+
+
 @register("station_day_of_year", oracle="""
 SELECT CAST(user_id AS VARCHAR) AS station, dayofyear(ts) AS doy, count(*) AS n
 FROM events GROUP BY ALL

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import orders as ops
+from ..operators.partitioning import output_parts
 from ..session import scratch_path
 from ..sources.store import KeyedStore
 from ..sources.testdata import table
@@ -30,6 +31,21 @@ def orders_part_names(spark, sf_dir):
     return ops.order_part_names(*_tables(spark, sf_dir))
 
 
+@register("orders_bucketed_part_names", oracle=f"""
+SELECT o.o_orderkey, o.o_totalprice, {_NAMES} AS part_names,
+       'Order #' || o.o_orderkey || ' $' || {_PRICE} || ': ' || {_NAMES} AS line
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY o.o_orderkey, o.o_totalprice
+""")
+def orders_bucketed_part_names(spark, sf_dir):
+    """The same from orders and line items stored in the same buckets of the
+    order key: grouping and join by it shuffle neither."""
+    orders, lineitem, part = _tables(spark, sf_dir)
+    root = scratch_path(spark, "buckets")
+    return ops.order_part_names(*ops.bucket_orders(orders, lineitem, f"{root}/orders", f"{root}/lineitem"), part)
+
+
 @register("orders_part_names_outer", oracle=f"""
 WITH n AS (
   SELECT l.l_orderkey, {_NAMES} AS names
@@ -103,11 +119,11 @@ JOIN part p ON l.l_partkey = p.p_partkey WHERE o.o_orderkey IN ({_KEYS})
 GROUP BY o.o_orderkey, o.o_totalprice
 """)
 def orders_denormalized_by_keys(spark, sf_dir):
-    """The same look-up from the nested table: row groups outside the keys
-    are skipped."""
+    """The same look-up from the nested table, bucketed by order key: only the
+    keys' buckets are opened."""
     store = KeyedStore(spark, root=scratch_path(spark, "store"))
-    store.append(ops.denormalize_orders(*_tables(spark, sf_dir)), "tpch", "orders_parts", key="o_orderkey",
-                 parallelism=spark.sparkContext.defaultParallelism)
+    nested = ops.denormalize_orders(*_tables(spark, sf_dir))
+    store.append(nested, "tpch", "orders_parts", key="o_orderkey", buckets=output_parts(nested))
     return ops.lookup_denormalized(store.read("tpch", "orders_parts", view=False), KEYS)
 
 
@@ -121,8 +137,7 @@ GROUP BY o.o_orderkey, o.o_totalprice
 def orders_denormalized_lookup(spark, sf_dir):
     """Build the nested table once into a keyed store (range-clustered by
     order key), then answer look-ups from the store's copy with no join."""
-    orders, lineitem, part = _tables(spark, sf_dir)
+    nested = ops.denormalize_orders(*_tables(spark, sf_dir))
     store = KeyedStore(spark, root=scratch_path(spark, "store"))
-    store.append(ops.denormalize_orders(orders, lineitem, part), "tpch", "orders_parts",
-                 key="o_orderkey", parallelism=spark.sparkContext.defaultParallelism)
+    store.append(nested, "tpch", "orders_parts", key="o_orderkey", parallelism=output_parts(nested))
     return ops.lookup_denormalized(store.read("tpch", "orders_parts", view=False))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from ..functions.text import LOCALE_TOKEN, WORD_SEPARATOR
+from pyspark.sql import functions as F
+
+from ..functions.text import LOCALE_TOKEN_RE2, WORD_SEPARATOR, normal_form
 from ..operators import wordcount as wc
 from ..session import scratch_path
 from ..sinks import write_key_value, written_lines
@@ -47,6 +49,19 @@ def word_count_nfd(spark, sf_dir):
     return wc.word_count(table(spark, sf_dir, "documents"), "text", normalise=True)
 
 
+@register("word_count_canonical", oracle=f"""
+SELECT nfc_normalize(word) AS word, CAST(sum(count) AS BIGINT) AS count, count(*) AS spellings
+FROM ({_WORDS}) GROUP BY 1
+""")
+def word_count_canonical(spark, sf_dir):
+    """Words grouped by their NFD, with the number of spellings each group has,
+    shown in the composed form (which DuckDB has)."""
+    words = wc.word_count(table(spark, sf_dir, "documents"), "text", normalise=False)
+    groups = words.groupBy(normal_form(F.col("word"), "NFD").alias("nfd")).agg(
+        F.sum("count").alias("count"), F.count("*").alias("spellings"))
+    return groups.select(normal_form(F.col("nfd"), "NFC").alias("word"), "count", "spellings")
+
+
 @register("word_count_nfc", oracle=f"""
 SELECT nfc_normalize(word) AS word, CAST(sum(count) AS BIGINT) AS count FROM ({_WORDS}) GROUP BY 1
 """)
@@ -59,7 +74,7 @@ _LINES = "word || ' ' || CAST(count AS VARCHAR)"
 
 
 @register("word_count_text_by_freq", oracle=f"""
-SELECT CAST(row_number() OVER (ORDER BY count DESC, word) - 1 AS INTEGER) AS pos, {_LINES} AS line
+SELECT CAST(row_number() OVER (ORDER BY count DESC, word) - 1 AS BIGINT) AS pos, {_LINES} AS line
 FROM ({_WORDS})
 """)
 def word_count_text_by_freq(spark, sf_dir):
@@ -69,7 +84,7 @@ def word_count_text_by_freq(spark, sf_dir):
 
 
 @register("word_count_text_by_word", oracle=f"""
-SELECT CAST(row_number() OVER (ORDER BY word) - 1 AS INTEGER) AS pos, {_LINES} AS line
+SELECT CAST(row_number() OVER (ORDER BY word) - 1 AS BIGINT) AS pos, {_LINES} AS line
 FROM ({_WORDS})
 """)
 def word_count_text_by_word(spark, sf_dir):
@@ -89,7 +104,7 @@ def word_count_key_value(spark, sf_dir):
     return read_lines(spark, path).withColumnRenamed("value", "line")
 
 
-_TOKEN = LOCALE_TOKEN.replace("'", "''")
+_TOKEN = LOCALE_TOKEN_RE2.replace("'", "''")
 
 
 @register("token_count", oracle=f"""

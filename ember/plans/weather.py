@@ -52,7 +52,7 @@ def daily_max_range_csv(spark, sf_dir):
 
 
 @register("daily_max_range_lines", oracle=f"""
-SELECT CAST(row_number() OVER (ORDER BY date, station) - 1 AS INTEGER) AS pos,
+SELECT CAST(row_number() OVER (ORDER BY date, station) - 1 AS BIGINT) AS pos,
        date || ' ' || station || ' ' || CAST(range AS VARCHAR) AS line
 FROM (SELECT * FROM ({_ORACLE}))
 """)

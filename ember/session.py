@@ -10,9 +10,11 @@ folder is created only when nothing is configured (local tests).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -88,13 +90,64 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Scratch folders of this process that are still there: (folder, how to remove it).
+_scratch: list[tuple[str, object]] = []
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    """Hadoop's path and file system of ``path``, whatever store it is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at, files = _hadoop_path(spark, path)
+    return files.exists(at)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder.
 
     Used for data a job writes and reads back (rendered stream input,
-    materialised intermediate tables)."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    materialised intermediate tables). The folder goes when the
+    ``scratch_scope`` it was made in ends, else when the driver's process
+    does; until then a lost executor's work can be redone from it."""
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    at, files = _hadoop_path(spark, path)
+    _scratch.append((path, lambda: files.delete(at, True)))
+    return path
+
+
+def release_scratch(since: int = 0) -> list[str]:
+    """Remove the scratch folders made after the first ``since``; returns those
+    removed. A folder that cannot be removed now is kept on the list."""
+    gone = []
+    for entry in reversed(_scratch[since:]):
+        try:
+            entry[1]()
+        except Exception:  # noqa: BLE001 - the store or the JVM may be gone: leave the folder
+            continue
+        _scratch.remove(entry)
+        gone.append(entry[0])
+    return gone
+
+
+@contextmanager
+def scratch_scope():
+    """Copies made inside are removed at its end, when their results must have
+    been read or written elsewhere::
+
+        with scratch_scope():
+            daily_max_range(observations).write.parquet(target)
+    """
+    since = len(_scratch)
+    try:
+        yield
+    finally:
+        release_scratch(since)
+
+
+atexit.register(release_scratch)
 
 
 def materialize(df, name: str = "table"):

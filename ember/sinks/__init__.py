@@ -87,4 +87,4 @@ def written_lines(df: DataFrame, line: Column | str | None, path: str) -> DataFr
     before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = rows.groupBy("file").agg(F.count("*").alias("n")).select("file", before.alias("before"))
     return rows.withColumn("at", within).join(files, "file").select(
-        (F.col("at") + F.col("before")).cast("int").alias("pos"), "line")
+        (F.col("at") + F.col("before")).cast("long").alias("pos"), "line")

@@ -13,7 +13,9 @@ _BAD = "_bad_record"
 
 # A string literal, or whatever stands up to the next one (a quote without an
 # end takes the rest): strings are skipped, so braces inside them do not count.
-_PIECES = r'"(?:[^"\\]|\\.)*"|[^"]+|"'
+# Possessive loops: the JVM runs them without recursion, so a string may have any
+# length, and one alternative always matches, so a text is read once.
+_PIECES = r'"(?s:[^"\\]++|\\.)*+(?:"|\\?\z)|[^"]++'
 # Outside strings only two top-level objects follow each other with nothing
 # but space between; inside an array or object there is a comma.
 _BETWEEN = r"\}\s*\{"
@@ -21,16 +23,19 @@ _CUT = "\u0001"
 
 
 def read_json_lines(spark: SparkSession, path, schema: T.StructType | str,
-                    bad_records_column: str | None = None) -> DataFrame:
-    """JSON lines parsed with a declared schema (only those fields)."""
-    reader = spark.read.schema(schema)
-    if bad_records_column:
-        if isinstance(schema, str):
-            schema = T._parse_datatype_string(schema)
-        schema = schema.add(bad_records_column, T.StringType())
-        reader = spark.read.schema(schema).option("columnNameOfCorruptRecord",
-                                                  bad_records_column)
-    return reader.json(path)
+                    bad_records_column: str | None = None, keep_invalid: bool = True) -> DataFrame:
+    """JSON lines parsed with a declared schema (only those fields). A line that
+    does not parse gives nulls (its text in ``bad_records_column``, if named), or
+    no row unless ``keep_invalid``."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    bad = bad_records_column or (None if keep_invalid else _BAD)
+    if bad is None:
+        return spark.read.schema(schema).json(path)
+    whole = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    rows = spark.read.schema(whole).option("columnNameOfCorruptRecord", bad).json(path)
+    rows = rows if keep_invalid else rows.where(F.col(bad).isNull())
+    return rows if bad_records_column else rows.drop(bad)
 
 
 def split_objects(text: F.Column) -> F.Column:
@@ -67,6 +72,25 @@ def read_json_objects(spark: SparkSession, path, schema: T.StructType | str, lin
                          keep_invalid, bad_records)
 
 
+def read_pretty_json(spark: SparkSession, path, schema: T.StructType | str, keep_invalid: bool = False,
+                     bad_records=None) -> DataFrame:
+    """Pretty-printed JSON objects one after another, with nothing between them.
+
+    A top-level object opens and closes with a brace at the start of a line,
+    which no nested one does and no string holds, so records end there and a
+    large file is read by many tasks. An object that was cut off ends where the
+    next one opens. See ``parse_objects`` for those that do not parse."""
+    records = read_lines(spark, path, line_sep="\n}\n").select(F.concat(F.lit("\n"), "value").alias("value"))
+    opened = F.filter(F.transform(F.split("value", r"\n\{"), lambda x, i: F.when(i > 0, F.concat(F.lit("{"), x))),
+                      lambda x: x.isNotNull())
+    # only the last one was closed; a file's last line may still have its brace
+    last = F.when(F.rtrim(F.element_at("parts", -1)).endswith("\n}"), F.element_at("parts", -1)).otherwise(
+        F.concat(F.element_at("parts", -1), F.lit("\n}")))
+    closed = F.concat(F.slice("parts", 1, F.size("parts") - 1), F.array(last))
+    objects = records.select(opened.alias("parts")).where(F.size("parts") > 0).select(F.explode(closed).alias("json"))
+    return parse_objects(objects, "json", schema, keep_invalid, bad_records)
+
+
 def read_multiline_json(spark: SparkSession, path, schema: T.StructType | str,
                         keep_invalid: bool = False, bad_records=None) -> DataFrame:
     """Files holding a sequence of JSON objects, each possibly spread over

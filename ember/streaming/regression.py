@@ -77,10 +77,12 @@ def start_regression(messages: DataFrame, checkpoint: str, sink: str = "console"
 def run_available(messages: DataFrame, checkpoint: str, results: str,
                   digits: int | None = 6, timeout: float | None = None) -> DataFrame:
     """Process everything available now, in as many micro-batches as the
-    source yields; each batch's update row is appended (with its batch id) to
-    the Parquet table ``results``. Returns the final state row."""
+    source yields. Each batch's update row is the partition ``batch_id`` of the
+    Parquet table ``results``, written over if the batch is run again after a
+    failure, so no batch counts twice; a later call with the same checkpoint
+    goes on where this one ended. Returns the final state row."""
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(results)
+        batch.write.mode("overwrite").parquet(f"{results.rstrip('/')}/batch_id={batch_id}")
 
     q = start_regression(messages, checkpoint, trigger={"availableNow": True},
                          foreach_batch=save, digits=digits)

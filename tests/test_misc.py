@@ -12,7 +12,7 @@ from ember.operators.topk import argmax_per_group
 from ember.operators.joins import measure
 from ember.operators.partitioning import byte_size, spread
 from ember.session import materialize, recommended_conf
-from ember.sources.store import KeyedStore
+from ember.sources.store import KeyedStore, split_size
 from ember.streaming.regression import file_messages, run_available, run_for
 
 
@@ -97,12 +97,14 @@ def test_spread_runs_no_job(spark, tmp):
 
 def test_store_split_size(spark, tmp):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        store = KeyedStore(spark, root=tmp)
-        store.append(spark.range(200_000), "k", "t", parallelism=1)
-        assert store.read("k", "t", split_bytes=64 << 10, view=False).rdd.getNumPartitions() > 2
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    store = KeyedStore(spark, root=tmp)
+    store.append(spark.range(200_000), "k", "t", parallelism=1)
+    with pytest.raises(ValueError):
+        store.read("k", "t", split_bytes=64 << 10)
+    with pytest.raises(RuntimeError), split_size(spark, 64 << 10):
+        assert store.read("k", "t", view=False).rdd.getNumPartitions() > 2
+        raise RuntimeError
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
 def test_written_lines_keep_their_place(spark, tmp):

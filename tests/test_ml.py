@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 from conftest import SF_MID, SF_SMALL
 from ember.functions.colour import lab_sql
 from ember.ml.colour import compare_classifiers, with_lab
-from ember.ml.regression import best_regressor, best_weather_model, with_day_of_year
+from ember.ml.colour import colour_pipelines
+from ember.ml.regression import (best_regressor, best_weather_model, elastic_net_closed, elastic_net_line,
+                                 with_day_of_year)
+from ember.ml.scores import label_scores, r2, weighted_f1
+from ember.ml.split import train_test_split
 from ember.sources import standins
 from ember.sources.testdata import table
 from pyspark.ml.feature import SQLTransformer
@@ -62,3 +66,34 @@ def test_best_regressor_is_a_tree(spark):
     assert len(best) == 1 and best[0] != "LinearRegression"
     assert rows[best[0]][0] > 0.8
     assert model.transform(part).count() == part.count()
+
+
+def test_scores_equal_the_library(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+    colours = standins.colours(table(spark, SF_SMALL, "part"))
+    train, test = train_test_split(colours, 0.75, key="p_partkey")
+    for name in ("RGB-forest", "LAB-forest"):
+        told = colour_pipelines(3)[name].fit(train).transform(test)
+        wanted = MulticlassClassificationEvaluator(labelCol="index", metricName="f1").evaluate(told)
+        assert weighted_f1(told).first().score == pytest.approx(wanted, rel=1e-12)
+    never = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (1.0, 2.0), (0.0, 1.0)], "index double, prediction double")
+    wanted = MulticlassClassificationEvaluator(labelCol="index", metricName="f1").evaluate(never)
+    assert weighted_f1(never).first().score == pytest.approx(wanted)
+    assert [r.label for r in label_scores(never).orderBy("label").collect()] == [0.0, 1.0]
+    part = table(spark, SF_SMALL, "part").select("p_partkey", "p_size", "p_retailprice")
+    model, scores = best_regressor(part, ["p_partkey", "p_size"], "p_retailprice", split_key="p_partkey")
+    told = model.transform(part)
+    wanted = RegressionEvaluator(labelCol="p_retailprice", metricName="r2").evaluate(told)
+    assert r2(told, "p_retailprice").first().score == pytest.approx(wanted, rel=1e-9)
+    flat = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "y double, prediction double")
+    assert r2(flat, "y").first().score is None
+
+
+@pytest.mark.parametrize("x,reg,mix", [("p_partkey", 0.5, 0.1), ("p_partkey", 20.0, 0.9), ("p_size", 0.5, 0.1), ("p_partkey", 1e4, 1.0)])
+def test_elastic_net_equals_its_closed_form(spark, x, reg, mix):
+    part = table(spark, SF_MID, "part").select(x, "p_retailprice").unionByName(
+        spark.createDataFrame([(None, 5.0)], f"{x} int, p_retailprice double"))
+    got = elastic_net_line(part, x, "p_retailprice", reg, mix, tol=1e-12).first()
+    closed = elastic_net_closed(part, x, "p_retailprice", reg, mix).first()
+    assert got.slope == pytest.approx(closed.slope, rel=1e-6, abs=1e-9)
+    assert got.intercept == pytest.approx(closed.intercept, rel=1e-6)
