@@ -32,6 +32,18 @@ def fixed_binary(matrix: np.ndarray) -> pa.Array:
     return binary_column(np.ascontiguousarray(matrix).reshape(-1), at)
 
 
+def packed(batch: pa.RecordBatch) -> bytes:
+    """A batch as one compressed value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(body: bytes) -> pa.Table:
+    return pa.ipc.open_stream(body).read_all()
+
+
 def small_batches(it, rows: int = 256):
     """The record batches of ``it`` in slices of at most ``rows`` rows, for
     steps that turn long values into Python objects."""

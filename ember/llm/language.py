@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
 from .token_count import code_point_values
 from .words import _STEP, LOWER, mix, slabs, utf8
 
@@ -148,11 +149,14 @@ def document_counts(texts: DataFrame):
 def fit(docs: DataFrame, max_train: int) -> Softmax | None:
     """Model of the rows (doc_id, text, lang) outside fold 2."""
     known = docs.withColumn("fold", fold("doc_id")).filter("fold <> 2 AND lang IS NOT NULL AND text IS NOT NULL")
-    # the rows to fetch, chosen without their texts: each language's first ones by hash
-    draw = F.xxhash64("doc_id")
+    # the rows to fetch, chosen without their texts: each language's first ones by
+    # hash. Few more than are wanted of a language meet in one place.
+    keys = known.select("doc_id", "lang", F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 62) - 1)).alias("draw"))
+    sizes = materialize(keys.groupBy("lang").agg(F.count("*").alias("of")), "language-sizes")
+    share = F.lit(float(1 << 62)) * F.least(F.lit(1.0), F.lit(4.0 * max_train) / F.col("of"))
+    few = keys.join(F.broadcast(sizes) if sizes.count() <= max_train else sizes, "lang").filter(F.col("draw") <= share)
     of_lang = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    keys = known.select("doc_id", "lang", draw.alias("draw"))
-    chosen = (keys.withColumn("place", F.row_number().over(of_lang)).filter(F.col("place") <= max_train)
+    chosen = (few.withColumn("place", F.row_number().over(of_lang)).filter(F.col("place") <= max_train)
               .orderBy("place", "draw", "doc_id", "lang").limit(max_train).select("doc_id", "lang").distinct())
 
     def rows(it):

@@ -2,12 +2,14 @@
 
 When no piece holds a white-space marker after another sign, no merge crosses
 the place where a marker follows a sign. The marked text then falls apart into
-chunks, markers followed by other signs, that are segmented independently.
-Texts are taken in blocks of rows. Each block sends its distinct chunks,
-packed by hash bucket, to the bucket's task, where every distinct chunk of the
-corpus is segmented once; the ids go back to the blocks that have the chunk,
-and there they are joined by position to each text's chunks. A common word
-thus travels once per block, never once per occurrence.
+chunks, markers followed by other signs, that are segmented independently, and
+the ids decode chunk by chunk as well. Neighbouring rows of a file form blocks,
+bounded in rows and bytes. Each block sends its distinct chunks, in the order
+they are met and packed by hash bucket, to the bucket's task, where every
+distinct chunk of the corpus is segmented and decoded once. Back come lengths
+and ids alone (and decoded texts, where they differ from the chunk): the block
+finds its chunks again in the same order and joins the ids by position. A common
+word thus travels once per block, never once per occurrence.
 
 Defined results: a null text is empty and has no ids; strings of control
 pieces inside a text are plain text, as the library has it; repeated rows are
@@ -17,6 +19,7 @@ encoded each; null ids stay null. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from functools import lru_cache
@@ -24,16 +27,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_width
+from .common import packed, shuffle_width, unpacked
 from .exact_dedup import located
+from .words import span_bytes, utf8
 
 MARK = "▁"
 CHUNK = re.compile(" +[^ ]*")
 PACK_ROWS = 1024
+PLAIN = 64  # bytes under which compression only costs
 
 
 @lru_cache(maxsize=4)
@@ -63,87 +67,138 @@ def chunks(text: str) -> list[str]:
     return [c[1:] for c in CHUNK.findall(" " + text)]
 
 
-def _pack(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+def distinct(lists: list[list[str]], buckets: int) -> dict[int, list[str]]:
+    """The distinct chunks of some texts by bucket, in the order they are met."""
+    held: dict[int, list[str]] = {}
+    for chunk in dict.fromkeys(chain.from_iterable(lists)):
+        held.setdefault(zlib.crc32(chunk.encode()) % buckets, []).append(chunk)
+    return held
 
 
-def _unpack(body: bytes) -> pa.Table:
-    return pa.ipc.open_stream(body).read_all()
+def shrunk(body: bytes) -> bytes:
+    if len(body) <= PLAIN:
+        return b"\0" + body
+    return b"\1" + len(body).to_bytes(4, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
 
-def _blocks(it):
-    """(block, part of a batch) in scan order."""
-    for batch in it:
-        block = batch.column(0).to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            if hi > lo:
-                yield int(block[lo]), batch.slice(lo, hi - lo)
+def grown(body: bytes) -> bytes:
+    if body[0] == 0:
+        return body[1:]
+    return pa.decompress(body[5:], int.from_bytes(body[1:5], "little"), codec="zstd", asbytes=True)
+
+
+def question(asked: list[str]) -> bytes:
+    """Lengths (in characters) and signs of some chunks."""
+    lengths = np.fromiter(map(len, asked), np.int32, len(asked))
+    small = bool(lengths.max(initial=0) < 256)
+    return shrunk(bytes([small]) + len(asked).to_bytes(4, "little")
+                  + (lengths.astype(np.uint8) if small else lengths).tobytes() + "".join(asked).encode())
+
+
+def questioned(body: bytes) -> list[str]:
+    body = grown(body)
+    kind, n = np.dtype(np.uint8 if body[0] else np.int32), int.from_bytes(body[1:5], "little")
+    ends = np.cumsum(np.frombuffer(body, kind, n, 5), dtype=np.int64).tolist()
+    text = body[5 + n * kind.itemsize:].decode()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def answer(lengths: np.ndarray, ids: np.ndarray, odd: dict[int, str]) -> bytes:
+    """Lengths, ids (two bytes each if they fit) and the decoded texts that are
+    not the chunk itself."""
+    small, narrow = bool(lengths.max(initial=0) < 256), bool(ids.max(initial=0) < 65536)
+    texts = json.dumps(odd).encode() if odd else b""
+    return shrunk(bytes([small, narrow]) + np.array([len(lengths), len(ids)], np.int32).tobytes()
+                  + lengths.astype(np.uint8 if small else np.int32).tobytes()
+                  + ids.astype(np.uint16 if narrow else np.int32).tobytes() + texts)
+
 
+def answered(body: bytes):
+    body = grown(body)
+    n, total = np.frombuffer(body, np.int32, 2, 2).tolist()
+    kinds = np.dtype(np.uint8 if body[0] else np.int32), np.dtype(np.uint16 if body[1] else np.int32)
+    at = 10 + n * kinds[0].itemsize
+    end = at + total * kinds[1].itemsize
+    odd = {int(k): v for k, v in json.loads(body[end:]).items()} if len(body) > end else {}
+    return np.frombuffer(body, kinds[0], n, 10).tolist(), np.frombuffer(body, kinds[1], total, at).tolist(), odd
 
-def packed_texts(rows: DataFrame) -> DataFrame:
-    """(block, doc_id, text) -> compressed packs of consecutive rows."""
+
+def blocks(it, rows: int, size: int):
+    """((file, first row), batches) of runs of neighbouring rows of a file: at
+    most ``rows`` rows and, unless one text is longer, ``size`` bytes. Both
+    passes over a scan find the same ones."""
+    head, held, n, total = None, [], 0, 0
+    for batch in it:
+        file, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        length = np.diff(utf8(batch.column(3))[1]).tolist()
+        lo = 0
+        for i in range(batch.num_rows):
+            if head is not None and (n == rows or total + length[i] > size or file[i] != head[0]):
+                if i > lo:
+                    held.append(batch.slice(lo, i - lo))
+                yield head, held
+                head, held, n, total, lo = None, [], 0, 0, i
+            if head is None:
+                head = (int(file[i]), int(at[i]))
+            n, total = n + 1, total + length[i]
+        if batch.num_rows > lo:
+            held.append(batch.slice(lo))
+    if head is not None:
+        yield head, held
+
+
+def packed_texts(rows: DataFrame, most: int, size: int) -> DataFrame:
+    """(file, at, doc_id, text) -> compressed packs of every block's rows."""
     def pack(it):
-        for block, part in _blocks(it):
-            for lo in range(0, part.num_rows, PACK_ROWS):
-                some = part.slice(lo, PACK_ROWS)
-                body = _pack(pa.RecordBatch.from_arrays(some.columns[1:], names=["doc_id", "text"]))
-                yield pa.RecordBatch.from_pylist([{"block": block, "body": body}])
-
-    return rows.mapInArrow(pack, "block long, body binary")
-
-
-def packed_chunks(rows: DataFrame, buckets: int) -> DataFrame:
-    """(block, doc_id, text) -> the distinct chunks of each block, by bucket."""
-    def emit(block, seen):
-        held: dict[int, list[str]] = {}
-        for chunk in seen:
-            held.setdefault(zlib.crc32(chunk.encode()) % buckets, []).append(chunk)
-        items = list(held.items())
-        for lo in range(0, len(items), 256):
-            yield pa.RecordBatch.from_pylist([
-                {"bucket": b, "block": block,
-                 "body": _pack(pa.RecordBatch.from_arrays([pa.array(c, pa.large_string())], names=["chunk"]))}
-                for b, c in items[lo:lo + 256]])
-
-    def distinct(it):
-        current, seen = None, set()
-        for block, part in _blocks(it):
-            if block != current and seen:
-                yield from emit(current, seen)
-                seen = set()
-            current = block
-            for text in part.column(2).to_pylist():
-                seen.update(chunks(text or ""))
-        if seen:
-            yield from emit(current, seen)
-
-    return rows.mapInArrow(distinct, "bucket long, block long, body binary")
+        for (file, at), parts in blocks(it, most, size):
+            for part in parts:
+                for lo in range(0, part.num_rows, PACK_ROWS):
+                    some = part.slice(lo, PACK_ROWS)
+                    body = packed(pa.RecordBatch.from_arrays(some.columns[2:], names=["doc_id", "text"]))
+                    yield pa.RecordBatch.from_pylist([{"file": file, "at": at, "place": some.column(1)[0].as_py(), "body": body}])
+
+    return rows.mapInArrow(pack, "file long, at long, place long, body binary")
+
+
+def packed_chunks(rows: DataFrame, buckets: int, most: int, size: int) -> DataFrame:
+    """(file, at, doc_id, text) -> the distinct chunks of each block, by bucket."""
+    def send(it):
+        for (file, at), parts in blocks(it, most, size):
+            held = list(distinct([chunks(t or "") for p in parts for t in p.column(3).to_pylist()], buckets).items())
+            for lo in range(0, len(held), 256):
+                yield pa.RecordBatch.from_pylist([
+                    {"bucket": b, "file": file, "at": at, "body": question(c)}
+                    for b, c in held[lo:lo + 256]])
+
+    return rows.mapInArrow(send, "bucket long, file long, at long, body binary")
 
 
 def segment(packs: DataFrame, path: str) -> DataFrame:
-    """Segment every distinct chunk of a bucket once; one answer per pack."""
+    """Segment and decode every distinct chunk of a bucket once; one answer per pack."""
     def group(table: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()  # what earlier groups left
         model = load(path)
-        asked = [_unpack(b).column(0) for b in table.column("body").to_pylist()]
-        words = pa.chunked_array([c for a in asked for c in a.chunks], pa.large_string()).unique()
-        listed = words.to_pylist()
-        ids = model.encode(listed, num_threads=1)
-        if "" in listed:  # a lone marker at a text's end
-            ids[listed.index("")] = model.encode("a ")[len(model.encode("a")):]
-        ids = pa.array(ids, pa.large_list(pa.int32()))
+        asked = [questioned(b) for b in table.column("body").to_pylist()]
+        place = {chunk: i for i, chunk in enumerate(dict.fromkeys(chain.from_iterable(asked)))}
+        before = model.encode("a")
+        ids = model.encode(list(place), num_threads=1)
+        if "" in place:  # a lone marker at a text's end
+            ids[place[""]] = model.encode("a ")[len(before):]
+        start = len(model.decode(before))
+        decoded = [t[start:] for t in model.decode([before + each for each in ids])]
+        odd = {i: t for (chunk, i), t in zip(place.items(), decoded) if t != " " + chunk}
+        ends = np.cumsum([len(each) for each in ids])
+        starts = np.concatenate(([0], ends[:-1]))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
         answers = []
-        for column in asked:
-            column = column.combine_chunks()
-            at = pc.index_in(column, value_set=words)
-            answers.append(_pack(pa.RecordBatch.from_arrays([column, ids.take(at)], names=["chunk", "ids"])))
-        return pa.table({"block": table.column("block"), "body": pa.array(answers, pa.binary())})
+        for wanted in asked:
+            at = np.fromiter(map(place.__getitem__, wanted), np.int64, len(wanted))
+            answers.append(answer(ends[at] - starts[at], span_bytes(flat, starts[at], ends[at])[0],
+                                  {k: odd[i] for k, i in enumerate(at.tolist()) if i in odd} if odd else {}))
+        return pa.table({"file": table.column("file"), "at": table.column("at"), "bucket": table.column("bucket"),
+                         "body": pa.array(answers, pa.binary())})
 
-    return packs.groupBy("bucket").applyInArrow(group, "block long, body binary")
+    return packs.groupBy("bucket").applyInArrow(group, "file long, at long, bucket long, body binary")
 
 
 DIGESTS = {"doc_id": ("long", pa.int64()), "n_tokens": ("long", pa.int64()), "ids_sha256": ("string", pa.string()),
@@ -152,44 +207,56 @@ OUTPUTS = {"ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa
 
 
 def encoded(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",
-            outputs: tuple[str, ...] = ("ids", "decoded"), block_rows: int = 2048, buckets: int | None = None) -> DataFrame:
+            outputs: tuple[str, ...] = ("ids", "decoded"), block_rows: int = 2048, block_bytes: int = 8 << 20,
+            buckets: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and ``outputs`` for every row.
 
-    A block is at most ``block_rows`` neighbouring rows of a file; ``buckets``
-    (twice the session's shuffle partitions) divide the table of chunks."""
+    ``block_rows`` and ``block_bytes`` bound the neighbouring rows that one task
+    holds together; ``buckets`` (twice the session's shuffle partitions) divide
+    the table of chunks."""
     spark = docs.sparkSession
     load(path)  # fails early for a model whose pieces cross markers
-    rows = located(docs).select(
-        F.xxhash64("__file", F.floor(F.col("__at") / F.lit(block_rows))).alias("block"),
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    table = segment(packed_chunks(rows, buckets or 2 * shuffle_width(spark)), path)
+    buckets = buckets or 2 * shuffle_width(spark)
+    rows = located(docs).select(F.col("__file").alias("file"), F.col("__at").alias("at"),
+                                F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    table = segment(packed_chunks(rows, buckets, block_rows, block_bytes), path)
     columns = DIGESTS | {name: OUTPUTS[name] for name in outputs}
 
     def join(texts: pa.Table, answers: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
-        model = load(path)
-        place: dict[str, int] = {}
-        ids: list[list[int]] = []
-        for body in answers.column("body").to_pylist():
-            part = _unpack(body)
-            for chunk, each in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                place.setdefault(chunk, len(ids))
-                ids.append(each)
-        written = [",".join(map(str, each)) for each in ids]
         out = {name: [] for name in columns}
-        for body in texts.column("body").to_pylist():
-            part = _unpack(body)
+        bodies = sorted(zip(texts.column("place").to_pylist(), texts.column("body").to_pylist()))
+        lists = []
+        for _, body in bodies:
+            part = unpacked(body)
             out["doc_id"] += part.column(0).to_pylist()
-            for text in part.column(1).to_pylist():
-                at = [place[c] for c in chunks(text or "")]
-                whole = list(chain.from_iterable([ids[i] for i in at]))
-                decoded = model.decode(whole) if whole else ""
-                out["n_tokens"].append(len(whole))
-                out["ids_sha256"].append(hashlib.sha256(",".join([written[i] for i in at]).encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                for name in outputs:
-                    out[name].append(whole if name == "ids" else decoded)
+            lists += [chunks(t or "") for t in part.column(1).to_pylist()]
+        held = distinct(lists, buckets)
+        count: dict[str, int] = {}
+        written: dict[str, str] = {}
+        ids_of: dict[str, list[int]] = {}
+        odd: dict[str, str] = {}
+        for bucket, body in zip(answers.column("bucket").to_pylist(), answers.column("body").to_pylist()):
+            lengths, ids, differ = answered(body)
+            spelt, at = list(map(str, ids)), 0
+            for chunk, n in zip(held[bucket], lengths):
+                count[chunk], written[chunk] = n, ",".join(spelt[at:at + n])
+                if "ids" in out:
+                    ids_of[chunk] = ids[at:at + n]
+                at += n
+            odd.update((held[bucket][k], t) for k, t in differ.items())
+        for found in lists:
+            # every chunk decodes to itself after a space, but for the odd ones; the first space goes
+            decoded = "".join([odd.get(c) or " " + c for c in found])[1:] if odd else " ".join(found)
+            out["n_tokens"].append(sum(map(count.__getitem__, found)))
+            out["ids_sha256"].append(hashlib.sha256(",".join(map(written.__getitem__, found)).encode()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+            if "ids" in out:
+                out["ids"].append(list(chain.from_iterable(map(ids_of.__getitem__, found))))
+            if "decoded" in out:
+                out["decoded"].append(decoded)
         return pa.table({name: pa.array(out[name], kind) for name, (_, kind) in columns.items()})
 
     schema = ", ".join(f"{name} {kind}" for name, (kind, _) in columns.items())
-    return packed_texts(rows).groupBy("block").cogroup(table.groupBy("block")).applyInArrow(join, schema)
+    return packed_texts(rows, block_rows, block_bytes).groupBy("file", "at").cogroup(
+        table.groupBy("file", "at")).applyInArrow(join, schema)

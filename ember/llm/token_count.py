@@ -3,7 +3,7 @@
 Byte-level BPE never merges across pre-tokens, so a text's token count is the
 sum over its pre-tokens of their lengths in tokens. A first pass over the
 whole corpus counts pre-tokens within each task and keeps the task's commonest;
-only those bounded summaries meet. The commonest overall go into a compact
+only those bounded summaries, one value a task, meet in a tree. The commonest overall go into a compact
 hash table (64-bit key, length) that every task gets. In the second pass each
 pre-token is looked up there; the misses are encoded once per Python worker
 and kept in that worker's bounded cache. No pre-token is ever shuffled.
@@ -26,9 +26,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize, packed, unpacked
 from .words import mix, slabs, span_hash, utf8
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
@@ -196,8 +198,15 @@ def missing_lengths(path: str, text: str, keys, first, last) -> np.ndarray:
     return np.array(lengths, np.int64)[back]
 
 
-def frequent(docs: DataFrame, path: str, sent, size: int, per_task: int) -> list[str]:
-    """The commonest pre-tokens of the corpus by the tasks' summaries."""
+def frequent(docs: DataFrame, path: str, sent, size: int, per_task: int, fan: int = 32) -> list[str]:
+    """The commonest pre-tokens of the corpus by the tasks' summaries. A task's
+    summary is one value; ``fan`` of them are merged at a time up a tree, each
+    merge keeping ``size`` pre-tokens, so no pre-token is a key of a shuffle."""
+    def body(held: dict[str, int], most: int):
+        best = sorted(held.items(), key=lambda kv: (-kv[1], kv[0]))[:most]
+        return packed(pa.RecordBatch.from_arrays([pa.array([k for k, _ in best], pa.string()),
+                                                  pa.array([c for _, c in best], pa.int64())], names=["token", "count"]))
+
     def summary(it):
         _, special = load(path)
         kinds = sent.value
@@ -215,14 +224,27 @@ def frequent(docs: DataFrame, path: str, sent, size: int, per_task: int) -> list
                     held[text[a:b]] = held.get(text[a:b], 0) + c
                 if len(held) > 4 * per_task:
                     held = dict(sorted(held.items(), key=lambda kv: -kv[1])[:2 * per_task])
-        best = sorted(held.items(), key=lambda kv: (-kv[1], kv[0]))[:per_task]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in best], pa.string()),
-                                          pa.array([c for _, c in best], pa.int64())], names=["token", "count"])
-
-    rows = (docs.select("text").mapInArrow(summary, "token string, count long")
-            .groupBy("token").agg(F.sum("count").alias("count"))
-            .orderBy(F.desc("count"), "token").limit(size).collect())  # ``size`` rows at most
-    return [r.token for r in rows]
+        yield pa.RecordBatch.from_pylist([{"task": TaskContext.get().partitionId(), "body": body(held, per_task)}])
+
+    def merge(table: pa.Table) -> pa.Table:
+        held: dict[str, int] = {}
+        for one in table.column("body").to_pylist():
+            part = unpacked(one)
+            for token, count in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                held[token] = held.get(token, 0) + count
+        return pa.table({"task": table.column("task")[:1], "body": pa.array([body(held, size)], pa.binary())})
+
+    rows = materialize(docs.select("text").mapInArrow(summary, "task long, body binary"), "token-summaries")
+    left, step = rows.count(), 1
+    while left > 1:
+        step, left = step * fan, -(-left // fan)
+        rows = rows.groupBy(F.floor(F.col("task") / F.lit(step)).alias("of")).applyInArrow(merge, "task long, body binary")
+    held: dict[str, int] = {}
+    for row in rows.collect():  # one value of ``size`` pre-tokens at most
+        part = unpacked(row.body)
+        for token, count in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            held[token] = held.get(token, 0) + count
+    return [k for k, _ in sorted(held.items(), key=lambda kv: (-kv[1], kv[0]))[:size]]
 
 
 def token_counts(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",

@@ -1,5 +1,6 @@
 """Tokens, pieces, fingerprints, mixing, quality and archives."""
 
+import base64
 import hashlib
 import random
 import re
@@ -13,7 +14,7 @@ import pytest
 from ember.llm import fingerprint, mixture, pieces, quality, token_count, warc
 from ember.llm.words import utf8
 
-from .llm_data import edge_docs, edge_rows, empty_docs, same_rows
+from .llm_data import edge_docs, edge_rows, empty_docs, prose, same_rows
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -75,6 +76,48 @@ def test_pieces_round_trip(spark):
     assert pieces.encoded(empty_docs(spark), PIECES).collect() == []
 
 
+def test_blocks_are_bounded_by_bytes(spark):
+    """Texts of 1 MB: a block holds as many as fit, and equal rows come back for any size."""
+    model = pieces.load(PIECES)
+    rows = [(i, prose(i % 3, 150_000 if i % 2 else 30), "en", "a") for i in range(8)] + [(9, "y" * 1_000_000, "en", "a")]
+    batches = [pa.RecordBatch.from_arrays([pa.array([5] * 9), pa.array(range(9)), pa.array([r[0] for r in rows]),
+                                           pa.array([r[1] for r in rows])], names=["file", "at", "doc_id", "text"])]
+    for rows_most, size in ((2048, 2 << 20), (2, 1 << 30), (3, 1)):
+        held = [(head, [t for b in parts for t in b.column(3).to_pylist()]) for head, parts in pieces.blocks(batches, rows_most, size)]
+        assert [t for _, texts in held for t in texts] == [r[1] for r in rows]
+        assert all(len(texts) <= rows_most and (len(texts) == 1 or sum(len(t.encode()) for t in texts) <= size) for _, texts in held)
+        assert len({head for head, _ in held}) == len(held)
+    expected = [(i, hashlib.sha256(",".join(map(str, model.encode(t))).encode()).hexdigest()) for i, t, *_ in rows]
+    for size in (1, 8 << 20):
+        got = pieces.encoded(edge_docs(spark, rows), PIECES, outputs=(), block_bytes=size, buckets=3).collect()
+        same_rows([(r.doc_id, r.ids_sha256) for r in got], expected)
+
+
+def test_answers_keep_lengths_ids_and_odd_texts():
+    for lengths, ids, odd in (([1, 2], [3, 70000, 5], {1: " x"}), ([300], list(range(300)), {}), ([0, 1], [9], {0: ""}), ([], [], {})):
+        got = pieces.answered(pieces.answer(np.array(lengths, np.int64), np.array(ids, np.int32), odd))
+        assert got == (lengths, ids, odd)
+    for asked in (["", " ", "a", "  b", "é\n"], ["x" * 300, "漢"], [""], []):
+        assert pieces.questioned(pieces.question(asked)) == asked
+
+
+def test_summaries_meet_without_a_shuffle_by_pretoken(spark, monkeypatch):
+    plans = []
+    usual = token_count.materialize
+    docs = edge_docs(spark).repartition(70)
+    monkeypatch.setattr(token_count, "materialize", lambda frame, name: usual(frame, name))
+    frame = type(docs)
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: (plans.append(self._jdf.queryExecution().executedPlan().toString()),
+                                                        collect(self))[1])
+    sent = spark.sparkContext.broadcast(token_count.code_point_tables(BPE))
+    words = token_count.frequent(docs.select("text"), BPE, sent, 40, 64, fan=8)
+    assert len(words) == 40 and len(set(words)) == 40
+    assert "Exchange" in plans[-1] and "token#" not in "".join(x for x in plans[-1].splitlines() if "Exchange" in x)
+    one = token_count.frequent(edge_docs(spark).coalesce(1).select("text"), BPE, sent, 40, 1 << 14)
+    assert set(words[:10]) & set(one[:20])
+
+
 def brute_sets(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").encode().lower().decode())
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
@@ -115,18 +158,47 @@ def test_sketch_estimates_likeness_and_decodes():
     assert fingerprint.decode(fingerprint.encode(sx, ax)[0]).tolist() == sx.tolist()
 
 
-def test_short_texts_at_the_fraction_in_use(spark):
-    """Likeness and containment against brute force; few of these texts have a hash under 1/8."""
+def brute_sketch(text, fraction):
+    """Hashes of the fingerprint that lie under the threshold, and the fingerprint, from a plain set."""
+    h = {int(x) for x in fingerprint.full_sets(pa.array([text], pa.large_string()), 5)[0]}
+    under = {x >> 16 for x in h if x < int(fraction * 2 ** 64)}
+    shown = under or ({min(h) >> 16} if h else set())
+    return under, base64.b64encode(b"".join(x.to_bytes(6, "big") for x in sorted(shown))).decode()
+
+
+def test_likeness_comes_from_the_fingerprint_at_the_fraction_in_use(spark):
+    """Near and contained by threshold membership, the exact columns by all shingles; few of the short texts
+    have a hash under 1/8."""
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(1 + i)), "en", "a") for i in range(40)]
     rows += [(100 + i, " ".join(f"w{j}" for j in range(6 + i)), "en", "a") for i in range(20)]
+    rows += [(200 + i, prose(i % 3, 2000), "en", "a") for i in range(6)] + [(300, None, "en", "a"), (301, " ", "en", "a")]
+    rows = [(i, t or "", *r) for i, t, *r in rows]
     texts = [t for _, t, *_ in sorted(rows, reverse=True)]
     got = {r.doc_id: r for r in fingerprint.fingerprints(edge_docs(spark, rows), partitions=2).collect()}
     for (i, t, *_), after in zip(sorted(rows, reverse=True), texts[1:] + texts[:1]):
         edited = t[:len(t) - len(t) // 2] + after[:len(t) // 2]
         x, y, z = map(brute_sets, (t, edited, after))
-        expected = (len(x & y) / len(x | y), len(x & z) / len(x | z), len(x & y) / len(x))
-        assert (got[i].near_edited, got[i].near_next, got[i].contained_edited) == pytest.approx(expected)
-        assert got[i].n_hashes > 0
+        exact = (len(x & y) / len(x | y) if x | y else 1, len(x & z) / len(x | z) if x | z else 1, len(x & y) / len(x) if x else 1)
+        assert (got[i].exact_edited, got[i].exact_next, got[i].exact_contained) == pytest.approx(exact)
+        (u, f), (v, g), (w, h) = (brute_sketch(s, 1 / 8) for s in (t, edited, after))
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (f, g)
+        near = [len(u & o) / len(u | o) if u | o else float(f == k) for o, k in ((v, g), (w, h))]
+        assert [got[i].near_edited, got[i].near_next] == pytest.approx(near)
+        assert fingerprint.alike(f, g)[0] == pytest.approx(near[0])
+        for estimated, value, union in ((near[0], exact[0], u | v), (near[1], exact[1], u | w)):
+            if len(union) > 100:  # four standard errors
+                assert abs(estimated - value) <= 4 * (value * (1 - value) / len(union)) ** .5 + 1e-9
+
+
+def test_containment_between_very_unequal_texts_and_merged_sketches():
+    long, other = prose(7, 40000, 5000), prose(8, 40000, 5000)
+    part = " ".join(long.split(" ")[1000:2500])
+    f, g, h = (brute_sketch(t, 1 / 8)[1] for t in (long, part, other))
+    near, inside = fingerprint.alike(g, f)
+    assert inside > 0.99 and near < 0.06 and fingerprint.alike(g, h) == (0, 0)
+    union = fingerprint.merge(f, h)
+    assert fingerprint.alike(f, union)[1] == 1 and abs(fingerprint.alike(f, union)[0] - 0.5) < 0.03
+    assert fingerprint.merge(union, g) == fingerprint.merge(h, f)
 
 
 def test_members_of_parts_merge():
