@@ -5,8 +5,10 @@ and row of the scan). A Structured Streaming query reads the manifest file by
 file; per digest a RocksDB state row, which never expires, retains the
 digest, the stable identifier of the row that stays, its locator and the
 number of texts seen. Every task first combines the rows of a batch by digest,
-so a hot text reaches its state as a few rows. A restarted query goes on from
-its checkpoint, and the groups are read from the state itself.
+so a hot text reaches its state as a few rows. The groups are read from the
+state itself. With a ``state`` folder of one's own the texts, manifest and state
+stay there, and the next call goes on from them: its rows meet the copies that
+came with earlier batches, whose locators still find their bytes.
 
 Wherever the state was hit, the full bytes of the texts are compared. Digests
 whose texts differ are split by their bytes, so the result does not rest on
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
 from .common import materialize, scratch_path
 
 NO_ID = -(1 << 63)  # stands for a null id inside the state
@@ -36,6 +39,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 MANIFEST = "doc_id long, file long, at long, sha binary"
+FEED = MANIFEST + ", batch int"
 
 
 def stored(docs: DataFrame) -> DataFrame:
@@ -72,14 +76,13 @@ def manifest(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(batches, MANIFEST)
 
 
-def stream_groups(spark: SparkSession, manifest_path: str, digest_bytes: int, triggers: int) -> DataFrame:
+def stream_groups(spark: SparkSession, manifest_path: str, checkpoint: str, digest_bytes: int, triggers: int) -> DataFrame:
     """Run the stream to the end of the manifest, then read its state:
     (key, group_size, keep_id, keep_file, keep_at) of every digest."""
-    files = len(spark.read.parquet(manifest_path).inputFiles())
-    checkpoint = scratch_path(spark, "dedup-stream")
+    files = len(spark.read.schema(FEED).parquet(manifest_path).inputFiles())
     kept = F.max(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.bitwise_not("file").alias("f"),
                           F.bitwise_not("at").alias("a")))
-    groups = (spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", max(1, -(-files // triggers)))
+    groups = (spark.readStream.schema(FEED).option("maxFilesPerTrigger", max(1, -(-files // triggers)))
               .parquet(manifest_path).groupBy(F.substring("sha", 1, digest_bytes).alias("key"))
               .agg(kept.alias("best"), F.count("*").alias("group_size")))
     before = {key: spark.conf.get(key, None) for key in STATE_CONF}
@@ -103,22 +106,41 @@ def stream_groups(spark: SparkSession, manifest_path: str, digest_bytes: int, tr
 
 
 def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = 32,
-          triggers: int = 2, broadcast_rows: int = 1 << 20) -> DataFrame:
+          triggers: int = 2, broadcast_rows: int = 1 << 20, state: str | None = None) -> DataFrame:
     """file, at, doc_id, keep_id, group_size, kept, text_sha256 for every row.
 
     ``digest_bytes`` shortens the state's key (tests use it to force
     collisions); ``triggers`` is the least number of micro-batches; at most
-    ``broadcast_rows`` locators (16 bytes each) are broadcast to fetch texts."""
+    ``broadcast_rows`` locators (16 bytes each) are broadcast to fetch texts.
+    ``state`` is a shared folder that later calls go on from: ``docs`` are then
+    the next batch, and groups hold the rows of all batches so far. A batch is
+    known by its number; one that failed half-way needs a copy of the folder
+    from before it."""
     spark = docs.sparkSession
-    texts = located(docs).select(F.col("__file").alias("file"), F.col("__at").alias("at"), F.col(id_col).cast("long").alias("doc_id"),
-                                 F.col(text_col).alias("text"))
-    path = scratch_path(spark, "dedup-manifest")
-    manifest(texts).write.parquet(path)
-    rows = spark.read.parquet(path).withColumn("key", F.substring("sha", 1, digest_bytes))
-    groups = stream_groups(spark, path, digest_bytes, triggers)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    batch = 0
+    if state:
+        while path_exists(spark, f"{state}/texts/batch={batch}"):
+            batch += 1
+        texts.write.parquet(f"{state}/texts/batch={batch}")
+        parts = [f"{state}/texts/batch={b}" for b in range(batch + 1)]
+        texts, new = located(spark.read.parquet(*parts)), located(spark.read.parquet(parts[-1]))
+    else:
+        texts = new = located(docs).select("__file", "__at", F.col(id_col).cast("long").alias("doc_id"),
+                                           F.col(text_col).alias("text"))
+    texts, new = (t.select(F.col("__file").alias("file"), F.col("__at").alias("at"), "doc_id", "text") for t in (texts, new))
+    path = f"{state}/manifest" if state else scratch_path(spark, "dedup-manifest")
+    manifest(new).write.parquet(f"{path}/batch={batch}")
+    everything = spark.read.schema(FEED).parquet(path).withColumn("key", F.substring("sha", 1, digest_bytes))
+    rows = everything.filter(F.col("batch") == batch).drop("batch")
+    groups = stream_groups(spark, path, f"{state}/stream" if state else scratch_path(spark, "dedup-stream"),
+                           digest_bytes, triggers)
+    everything = everything.drop("batch")
+    if batch:  # groups that this batch's rows belong to
+        groups = groups.join(rows.select("key").distinct(), "key", "left_semi")
 
     # the full bytes of every text whose digest was hit
-    hits = materialize(rows.join(groups.filter("group_size > 1").select("key"), "key").select("file", "at", "key"),
+    hits = materialize(everything.join(groups.filter("group_size > 1").select("key"), "key").select("file", "at", "key"),
                        "dedup-hits")
     found = F.broadcast(hits) if hits.count() <= broadcast_rows else hits
 

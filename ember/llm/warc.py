@@ -6,7 +6,9 @@ order, in gzip blocks of ``block_lines`` lines, and a sparse directory with the
 first key and the place of every block. Of equal payloads one record is a
 response and the others are revisits that refer to it. A look-up finds the
 archive by the first keys of all directories (one per partition), searches the
-directory for the block, reads the block, then the record, by byte ranges.
+directory for the block, reads the block, then the record, by byte ranges. A
+URL is looked up by its prefix of the keys: the search ends at the first line
+that may have it, and reading goes on over blocks and archives while it does.
 
 Files are written through pyarrow's file systems under the shared checkpoint
 folder. A retried task writes files of another name, and only files named by
@@ -191,15 +193,26 @@ class _Shard:
         self.warc, self.cdx = system.open_input_file(row["warc"]), system.open_input_file(row["cdx"])
         self.block, self.lines, self.at, self.buffer = -1, {}, 0, b""
 
-    def find(self, key: str) -> bytes | None:
-        block = bisect.bisect_right(self.keys, key) - 1
-        if block < 0:
-            return None
+    def load(self, block: int) -> None:
         if block != self.block:
             _, at, n = self.places[block]
             text = gzip.decompress(self.cdx.read_at(n, at)).decode()
             self.lines = {k: (int(a), int(m)) for k, a, m in (x.split("\t") for x in text.splitlines())}
             self.block = block
+
+    def starting(self, prefix: str):
+        """The keys that start with ``prefix``, in order."""
+        block = max(0, bisect.bisect_right(self.keys, prefix) - 1)
+        while block < len(self.keys) and (self.keys[block] <= prefix or self.keys[block].startswith(prefix)):
+            self.load(block)
+            yield from [k for k in self.lines if k.startswith(prefix)]
+            block += 1
+
+    def find(self, key: str) -> bytes | None:
+        block = bisect.bisect_right(self.keys, key) - 1
+        if block < 0:
+            return None
+        self.load(block)
         if key not in self.lines:
             return None
         at, n = self.lines[key]
@@ -208,53 +221,89 @@ class _Shard:
         return gzip.decompress(self.buffer[at - self.at:at - self.at + n])
 
 
-def read(spark: SparkSession, archive: Archive, keys: DataFrame) -> DataFrame:
-    """The records of ``keys`` (key string) read back from the archives, see
-    FOUND. A key that is not in the index gives no row; a payload that does
-    not have its digest raises."""
+def _parsed(key: str, raw: bytes) -> dict:
+    head, http, payload = parse(raw)
+    digest, kind = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"]
+    if kind == "response" and sha1(payload) != digest:
+        raise ValueError(f"{key}: the payload does not have its digest")
+    page, refers = (head.get(h, "").removeprefix("<urn:page:").split(":")[0]
+                    for h in ("WARC-Record-ID", "WARC-Refers-To"))
+    return {"key": key, "page_id": int(page) if page else None, "payload_bytes": int(http["Content-Length"]),
+            "payload_digest": digest, "record_type": kind, "refers_to": int(refers) if refers else None}
+
+
+def _fetched(spark: SparkSession, archive: Archive, keys: DataFrame, ends, records, schema: str) -> DataFrame:
+    """``records(shard, key)`` of every key at the shards ``ends(firsts, key)`` to it."""
     # one row per archive, so as many as the partitions that wrote them
     shards = sorted((r.asDict() for r in archive.directory.collect()), key=lambda r: r["first_key"])
     if not shards:
-        return spark.createDataFrame([], FOUND)
+        return spark.createDataFrame([], schema)
     firsts, folder = [r["first_key"] for r in shards], scratch_path(spark, "x")
+    name = schema.split()[0]
 
     def route(it):
         for batch in it:
-            wanted = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([max(0, bisect.bisect_right(firsts, k) - 1) for k in wanted], pa.int32())],
-                names=["key", "shard"])
+            wanted = [(k, n) for k in batch.column(0).to_pylist() for n in ends(firsts, k)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in wanted], pa.string()),
+                                              pa.array([n for _, n in wanted], pa.int32())], names=["key", "shard"])
 
     def fetch(it):
         system, _ = pafs.FileSystem.from_uri(folder)
         number, shard = -1, None
-        for batch in it:
+        for batch in small_batches(it):
             out = []
             for key, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if at != number:
                     number, shard = at, _Shard(system, shards[at])
-                raw = shard.find(key)
-                if raw is None:
-                    continue
-                head, http, payload = parse(raw)
-                digest, kind = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"]
-                if kind == "response" and sha1(payload) != digest:
-                    raise ValueError(f"{key}: the payload does not have its digest")
-                page, refers = (head.get(h, "").removeprefix("<urn:page:").split(":")[0]
-                                for h in ("WARC-Record-ID", "WARC-Refers-To"))
-                out.append({"key": key, "page_id": int(page) if page else None,
-                            "payload_bytes": int(http["Content-Length"]), "payload_digest": digest,
-                            "record_type": kind, "refers_to": int(refers) if refers else None})
-            yield pa.RecordBatch.from_pylist(out, FOUND_SCHEMA)
+                for row in records(shard, key):
+                    out.append(row)
+                    if len(out) == 1024:
+                        yield pa.RecordBatch.from_pylist(out, FOUND_SCHEMA if name == "key" else URL_SCHEMA)
+                        out = []
+            yield pa.RecordBatch.from_pylist(out, FOUND_SCHEMA if name == "key" else URL_SCHEMA)
 
     return (keys.select("key").mapInArrow(route, "key string, shard int")
             .repartitionById(len(shards), F.col("shard")).sortWithinPartitions("shard", "key")
-            .mapInArrow(fetch, FOUND))
+            .mapInArrow(fetch, schema))
+
+
+def read(spark: SparkSession, archive: Archive, keys: DataFrame) -> DataFrame:
+    """The records of ``keys`` (key string) read back from the archives, see
+    FOUND. A key that is not in the index gives no row; a payload that does
+    not have its digest raises."""
+    def one(shard: _Shard, key: str):
+        raw = shard.find(key)
+        return [] if raw is None else [_parsed(key, raw)]
+
+    return _fetched(spark, archive, keys.filter("key IS NOT NULL"),
+                    lambda firsts, k: [max(0, bisect.bisect_right(firsts, k) - 1)], one, FOUND)
+
+
+def look_up(spark: SparkSession, archive: Archive, urls: DataFrame) -> DataFrame:
+    """All captures of ``urls`` (url string), ``url`` and the columns of FOUND. A
+    URL given twice is looked up once; one without a capture gives no row; null
+    finds the pages without a URL. URLs with one sort key are one URL."""
+    def span(firsts: list[str], url: str | None):
+        # keys of one URL may lie in several archives, the first from its middle
+        prefix = surt(url) + " "
+        lo = max(0, bisect.bisect_right(firsts, prefix) - 1)
+        hi = lo
+        while hi + 1 < len(firsts) and firsts[hi + 1].startswith(prefix):
+            hi += 1
+        return range(lo, hi + 1)
+
+    def all_of(shard: _Shard, url: str | None):
+        for key in shard.starting(surt(url) + " "):
+            yield {"url": url, **_parsed(key, shard.find(key))}
+
+    return _fetched(spark, archive, urls.select(F.col("url").alias("key")).distinct(), span, all_of, "url string, " + FOUND)
 
 
 FOUND_SCHEMA = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()),
                           ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
+URL_SCHEMA = pa.schema([("url", pa.string()), *FOUND_SCHEMA])
+
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:
     """Write all pages, then look every capture up in the archives."""

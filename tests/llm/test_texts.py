@@ -314,6 +314,23 @@ def test_warc_round_trip_and_look_up(spark):
     assert {r.record_type for r in large} == {"response"}
 
 
+@pytest.mark.parametrize("block_lines", [1, 4, 1024])
+def test_urls_are_looked_up_across_blocks_and_archives(spark, block_lines):
+    rows = [(i, f"http://h.example.com/p{i % 4}", f"<p>{i % 7}</p>") for i in range(80)]
+    rows += [(200 + i, "http://h.example.com/p1x", "x") for i in range(3)] + [(300, None, "none"), (None, "http://a.b/", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archive = warc.write(pages, block_lines=block_lines, partitions=5)
+    asked = ["http://h.example.com/p1", "http://H.example.com/p1", "http://h.example.com/p1x", "http://h.example.com/p",
+             "http://a.b/", None, "http://h.example.com/p3", "http://h.example.com/p3", "~"]
+    urls = spark.createDataFrame([(u, 1) for u in asked], "url string, key int")
+    got = warc.look_up(spark, archive, urls).collect()
+    expected = [(u, i, warc.sha1((h or "").encode())) for u in set(asked) for i, v, h in rows
+                if warc.surt(v) == warc.surt(u)]
+    same_rows([(r.url, r.page_id, r.payload_digest) for r in got], expected)
+    assert warc.look_up(spark, archive, urls.limit(0)).collect() == []
+    assert warc.look_up(spark, warc.write(pages.limit(0)), urls).collect() == []
+
+
 def test_surt_orders_hosts():
     assert warc.surt("http://www.Example.com/a?b=1") == "com,example,www)/a?b=1"
     assert warc.surt(None) == "-"
