@@ -22,6 +22,7 @@ import hashlib
 import json
 import re
 import zlib
+from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -67,10 +68,10 @@ def chunks(text: str) -> list[str]:
     return [c[1:] for c in CHUNK.findall(" " + text)]
 
 
-def distinct(lists: list[list[str]], buckets: int) -> dict[int, list[str]]:
-    """The distinct chunks of some texts by bucket, in the order they are met."""
+def by_bucket(seen, buckets: int) -> dict[int, list[str]]:
+    """Distinct chunks by bucket, in the order given."""
     held: dict[int, list[str]] = {}
-    for chunk in dict.fromkeys(chain.from_iterable(lists)):
+    for chunk in seen:
         held.setdefault(zlib.crc32(chunk.encode()) % buckets, []).append(chunk)
     return held
 
@@ -120,7 +121,7 @@ def answered(body: bytes):
     at = 10 + n * kinds[0].itemsize
     end = at + total * kinds[1].itemsize
     odd = {int(k): v for k, v in json.loads(body[end:]).items()} if len(body) > end else {}
-    return np.frombuffer(body, kinds[0], n, 10).tolist(), np.frombuffer(body, kinds[1], total, at).tolist(), odd
+    return np.frombuffer(body, kinds[0], n, 10), np.frombuffer(body, kinds[1], total, at), odd
 
 
 def blocks(it, rows: int, size: int):
@@ -164,7 +165,8 @@ def packed_chunks(rows: DataFrame, buckets: int, most: int, size: int) -> DataFr
     """(file, at, doc_id, text) -> the distinct chunks of each block, by bucket."""
     def send(it):
         for (file, at), parts in blocks(it, most, size):
-            held = list(distinct([chunks(t or "") for p in parts for t in p.column(3).to_pylist()], buckets).items())
+            seen = dict.fromkeys(chain.from_iterable(chunks(t or "") for p in parts for t in p.column(3).to_pylist()))
+            held = list(by_bucket(seen, buckets).items())
             for lo in range(0, len(held), 256):
                 yield pa.RecordBatch.from_pylist([
                     {"bucket": b, "file": file, "at": at, "body": question(c)}
@@ -224,38 +226,56 @@ def encoded(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
 
     def join(texts: pa.Table, answers: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
-        out = {name: [] for name in columns}
-        bodies = sorted(zip(texts.column("place").to_pylist(), texts.column("body").to_pylist()))
-        lists = []
-        for _, body in bodies:
-            part = unpacked(body)
-            out["doc_id"] += part.column(0).to_pylist()
-            lists += [chunks(t or "") for t in part.column(1).to_pylist()]
-        held = distinct(lists, buckets)
-        count: dict[str, int] = {}
-        written: dict[str, str] = {}
-        ids_of: dict[str, list[int]] = {}
-        odd: dict[str, str] = {}
+        bodies = [body for _, body in sorted(zip(texts.column("place").to_pylist(), texts.column("body").to_pylist()))]
+        # the number of every chunk of the block in reading order; its strings are kept once
+        place: dict[str, int] = {}
+        numbers, sizes = array("i"), []
+        for body in bodies:
+            for text in unpacked(body).column(1).to_pylist():
+                found = chunks(text or "")
+                numbers.extend([place.setdefault(c, len(place)) for c in found])
+                sizes.append(len(found))
+        at = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)))
+        numbers = np.frombuffer(numbers, np.int32)
+        held = by_bucket(place, buckets)
+        written, starts, ends = [""] * len(place), np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        flat, total, odd = [], 0, {}
         for bucket, body in zip(answers.column("bucket").to_pylist(), answers.column("body").to_pylist()):
             lengths, ids, differ = answered(body)
-            spelt, at = list(map(str, ids)), 0
-            for chunk, n in zip(held[bucket], lengths):
-                count[chunk], written[chunk] = n, ",".join(spelt[at:at + n])
-                if "ids" in out:
-                    ids_of[chunk] = ids[at:at + n]
-                at += n
-            odd.update((held[bucket][k], t) for k, t in differ.items())
-        for found in lists:
-            # every chunk decodes to itself after a space, but for the odd ones; the first space goes
-            decoded = "".join([odd.get(c) or " " + c for c in found])[1:] if odd else " ".join(found)
-            out["n_tokens"].append(sum(map(count.__getitem__, found)))
-            out["ids_sha256"].append(hashlib.sha256(",".join(map(written.__getitem__, found)).encode()).hexdigest())
-            out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-            if "ids" in out:
-                out["ids"].append(list(chain.from_iterable(map(ids_of.__getitem__, found))))
-            if "decoded" in out:
-                out["decoded"].append(decoded)
-        return pa.table({name: pa.array(out[name], kind) for name, (_, kind) in columns.items()})
+            spelt, lo = list(map(str, ids.tolist())), 0
+            for chunk, n in zip(held[bucket], lengths.tolist()):
+                written[place[chunk]] = ",".join(spelt[lo:lo + n])
+                lo += n
+            mine = [place[c] for c in held[bucket]]
+            ends[mine] = total + np.cumsum(lengths, dtype=np.int64)
+            starts[mine] = ends[mine] - lengths
+            flat.append(ids)
+            total += len(ids)
+            odd.update((place[held[bucket][k]], t) for k, t in differ.items())
+        chunk_of = list(place) if odd else []
+        places = np.concatenate((np.zeros(1, np.int64), np.cumsum((ends - starts)[numbers])))[at]
+        out = {"doc_id": [], "n_tokens": pa.array(np.diff(places)), "ids_sha256": [], "decoded_sha256": [], "decoded": []}
+        row = 0
+        for body in bodies:
+            part = unpacked(body)
+            out["doc_id"] += part.column(0).to_pylist()
+            for text in part.column(1).to_pylist():
+                mine = numbers[at[row]:at[row + 1]].tolist()
+                row += 1
+                # every chunk decodes to itself after a space, but for the odd ones; the first space goes
+                decoded = (text or "").replace(MARK, " ")
+                if odd and not odd.keys().isdisjoint(mine):
+                    decoded = "".join([odd[i] if i in odd else " " + chunk_of[i] for i in mine])[1:]
+                out["ids_sha256"].append(hashlib.sha256(",".join([written[i] for i in mine]).encode()).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+                if "decoded" in columns:
+                    out["decoded"].append(decoded)
+        if "ids" in columns:
+            flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+            ids, _ = span_bytes(flat, starts[numbers], ends[numbers])
+            out["ids"] = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(ids.astype(np.int32)))
+        return pa.table({name: out[name] if isinstance(out[name], pa.Array) else pa.array(out[name], kind)
+                         for name, (_, kind) in columns.items()})
 
     schema = ", ".join(f"{name} {kind}" for name, (kind, _) in columns.items())
     return packed_texts(rows, block_rows, block_bytes).groupBy("file", "at").cogroup(
