@@ -29,7 +29,23 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-@query("op8_minhash_near_dedup")
+@query("op8_minhash_near_dedup", r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(words) >= 4 THEN list_transform(range(1, len(words) - 2), lambda i: words[i:i + 3])
+                                 WHEN len(words) > 0 THEN [words] ELSE [] END) AS shingle FROM d),
+z AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+i AS (SELECT a.r AS x, b.r AS y, count(*) AS same FROM s a JOIN s b ON a.shingle = b.shingle AND a.r < b.r GROUP BY ALL),
+l AS (SELECT x, y FROM i JOIN z u ON u.r = x JOIN z v ON v.r = y WHERE 100 * same >= 80 * (u.n + v.n - same)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+c(r, node) AS (SELECT r, r FROM d UNION SELECT c.r, e.y FROM c JOIN e ON e.x = c.node),
+m AS (SELECT c.r, min(o.doc_id) AS component_id FROM c JOIN d o ON o.r = c.node GROUP BY c.r)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM d JOIN m ON m.r = d.r LEFT JOIN z ON z.r = d.r
+""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -81,7 +97,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
-@query("op10_warc_capture_index")
+@query("op10_warc_capture_index", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, body, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS kept FROM p),
+b AS (SELECT *, list_transform(range(0, 8), lambda g: ('0x' || substr(hex, g * 5 + 1, 5))::BIGINT) AS bits FROM h)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((bits[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM b
+""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
