@@ -92,7 +92,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                           outputs=())
 
 
-@query("op7_suffix_array_dedup")
+@query("op7_suffix_array_dedup", """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents),
+part AS (SELECT r, k, substr(body, 600 * k + 1, 998) AS body  -- pieces, as cutting a long text is slow
+         FROM (SELECT r, body, unnest(range(0, length(body) // 600 + 1)) AS k FROM d WHERE length(body) >= 400)),
+w AS (SELECT r, 300 * k + i AS i, md5(substr(body, 2 * i + 1, 400)) AS piece
+      FROM (SELECT r, k, body, unnest(range(0, least(300, length(body) // 2 - 199))) AS i FROM part)),
+again AS (SELECT r, i FROM w WHERE piece IN (SELECT piece FROM w GROUP BY piece HAVING count(*) > 1)),
+cut AS (SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + 200, -1) AS first FROM again),
+span AS (SELECT r, min(i) AS a, max(i) + 200 AS b
+         FROM (SELECT r, i, sum(first::INTEGER) OVER (PARTITION BY r ORDER BY i) AS n FROM cut) GROUP BY r, n),
+t AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS ends, [0] || list(b ORDER BY a) AS starts
+      FROM span GROUP BY r)
+SELECT doc_id, length(body) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN ends IS NULL THEN body ELSE array_to_string(list_transform(range(1, len(starts) + 1), lambda k:
+           substr(body, 2 * starts[k] + 1, 2 * (coalesce(ends[k], length(body) // 2) - starts[k]))), '') END)) AS kept_sha256
+FROM d LEFT JOIN t ON t.r = d.r
+""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
