@@ -1,4 +1,5 @@
-"""Summarise the physical plan of every registered query.
+"""Summarise the physical plan of every registered query on the driver's tables
+(the training-data operators run many jobs each and are not in it).
 
     python tools/plan_report.py [sf_dir] > PLANS.md
 
@@ -18,10 +19,10 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from ember.plans import QUERIES  # noqa: E402
 from ember.session import build_session  # noqa: E402
 
-SKIP = {"colour_classifier_scores", "price_regressor_scores", "price_prediction_histogram"}
+SKIP = {"colour_classifier_scores", "price_regressor_scores", "price_prediction_histogram", "station_temperature_scores"}
 
 
 def summarise(plan: str) -> list[str]:
@@ -53,21 +54,22 @@ def summarise(plan: str) -> list[str]:
         loc = re.search(r"Location: \w+\(\d+ paths\)\[([^\],]*)", line)
         where = os.path.basename(loc.group(1).rstrip("/")) if loc else "?"
         where = re.sub(r"-[0-9a-f]{12}$", "", where)
+        buckets = re.search(r"SelectedBucketsCount: [^,\n]*", line)
         pushed = re.search(r"PushedFilters: (\[.*?\]), ReadSchema", line)
         schema = re.search(r"ReadSchema: (struct<.*>)", line)
         out.append(f"scan {fmt} {where}: pushed {pushed.group(1) if pushed else '?'} "
-                   f"read {schema.group(1) if schema else '?'}")
+                   f"read {schema.group(1) if schema else '?'}" + (f", {buckets.group()}" if buckets else ""))
     return out
 
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", 16, extra={"spark.driver.memory": "8g"})
+    spark = build_session(f"local[{os.environ.get('REPORT_CPUS', '8')}]", 16, extra={"spark.driver.memory": "8g"})
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ember-plans-"))
     print(f"# Physical plans ({os.path.basename(sf_dir)})\n")
     print("Generated by `tools/plan_report.py`; initial adaptive plans.\n")
-    for name, fn in sorted(queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         if name in SKIP:
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
