@@ -16,7 +16,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .split import train_test_split
+from .split import spread, train_test_split
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,7 @@ def best_regressor(df: DataFrame, feature_cols, label_col: str, statement: str |
     prepare = [VectorAssembler(inputCols=list(feature_cols), outputCol="features")]
     if statement:
         prepare.insert(0, SQLTransformer(statement=statement))
-    train, test = train_test_split(df, 0.75, key=split_key, seed=seed)
+    train, test = train_test_split(spread(df), 0.75, key=split_key, seed=seed)
 
     def tuned(candidate: Candidate) -> PipelineModel:
         return candidate.tuner(prepare, evaluator, train_ratio, seed).fit(train).bestModel

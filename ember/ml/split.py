@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 SLOTS = 10000
 
+#: Rows up to which a table stays as its files are cut, and a task's rows beyond.
+FEW_ROWS = 1 << 17
+TASK_ROWS = 100000
+
 
 def split_slot(key: str, seed: int = 42) -> Column:
     """0 .. SLOTS - 1 from the md5 of key and seed: the same in every engine."""
@@ -25,3 +29,14 @@ def train_test_split(df: DataFrame, train_fraction: float = 0.75, key: str | Non
         parts = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     train, test = (p.cache() for p in parts) if cache else parts
     return train, test
+
+
+def spread(df: DataFrame, few_rows: int = FEW_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The same rows in tasks of about ``task_rows``, for fits that read them
+    hundreds of times: a small file is one task, whatever rows it holds. Rows go
+    by their hash and are sorted in a task, so that seeded samples are the same
+    again. Up to ``few_rows`` rows stay where they are."""
+    rows = df.count()
+    if rows <= few_rows:
+        return df
+    return df.repartition(-(-rows // task_rows), *df.columns).sortWithinPartitions(*df.columns)

@@ -10,7 +10,8 @@ from ember.ml.colour import colour_pipelines
 from ember.ml.regression import (best_regressor, best_weather_model, elastic_net_closed, elastic_net_line,
                                  with_day_of_year)
 from ember.ml.scores import label_scores, r2, weighted_f1
-from ember.ml.split import train_test_split
+from ember.ml import colour, regression
+from ember.ml.split import spread, train_test_split
 from ember.sources import standins
 from ember.sources.testdata import table
 from pyspark.ml.feature import SQLTransformer
@@ -97,3 +98,31 @@ def test_elastic_net_equals_its_closed_form(spark, x, reg, mix):
     closed = elastic_net_closed(part, x, "p_retailprice", reg, mix).first()
     assert got.slope == pytest.approx(closed.slope, rel=1e-6, abs=1e-9)
     assert got.intercept == pytest.approx(closed.intercept, rel=1e-6)
+
+
+def test_fits_read_a_large_file_in_many_tasks(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def split(df, *args, **options):
+        raise Seen(df.rdd.getNumPartitions())
+
+    one = spark.range(140000).coalesce(1).selectExpr(
+        "id AS p_partkey", "cast(id % 7 AS int) AS p_size", "cast(id % 11 AS double) AS p_retailprice")
+    fits = [(colour, lambda: compare_classifiers(standins.colours(one), split_key="p_partkey")),
+            (regression, lambda: best_regressor(one, ["p_partkey", "p_size"], "p_retailprice", split_key="p_partkey"))]
+    for module, fit in fits:
+        monkeypatch.setattr(module, "train_test_split", split)
+        with pytest.raises(Seen) as seen:
+            fit()
+        assert seen.value.args[0] == 2
+
+
+def test_spread_keeps_the_rows(spark):
+    rows = [(i, None if i % 5 == 0 else i % 3) for i in range(40)] * 2
+    df = spark.createDataFrame(rows, "a int, b int").coalesce(1)
+    wide = spread(df, few_rows=50, task_rows=20)
+    assert wide.rdd.getNumPartitions() == 4
+    assert sorted(map(tuple, wide.collect()), key=str) == sorted(rows, key=str)
+    assert [r.a for r in wide.collect()] == [r.a for r in spread(df.repartition(3), few_rows=50, task_rows=20).collect()]
+    assert spread(df, few_rows=80).rdd.getNumPartitions() == 1
