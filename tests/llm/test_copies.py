@@ -198,6 +198,28 @@ def line_labels(spark, lines, **options):
     return {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(edge_docs(spark, rows), **options).collect()}
 
 
+def test_a_crowded_key_drops_no_partner(spark):
+    """Every line shares its first half with all others; a line's partner is far
+    from it by place and by SimHash. Blocks of a hot key meet each other too."""
+    rng = random.Random(5)
+    start = prose(31, 14)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+
+    ends = [[word() for _ in range(10)] for _ in range(60)]
+    lines = [f"{start} {' '.join(words)}" for words in ends]
+    # two letters of every word of the second half, so that no eight signs of it stay
+    lines += [f"{start} {' '.join(w[0] + '9' + w[2:5] + '9' + w[6:] for w in words)}" for words in ends]
+    assert all(similar(lines[i], lines[i + 60]) for i in range(60)) and not similar(lines[0], lines[61])
+    wanted = {i: int(i >= 60) for i in range(120)}
+    assert line_labels(spark, lines) == wanted
+    rows = spark.createDataFrame([(1, i, i) for i in range(500)] + [(2, i, i) for i in range(3)] + [(3, 1, 1), (3, 2, 1)],
+                                 "key long, id long, grp long")
+    pairs = line_dedup._met(rows, line_dedup.F.lit(True), 64, 100, rate=1).collect()
+    same_rows([(r.a, r.b) for r in pairs], [(i, j) for j in range(500) for i in range(j)] + [(0, 1), (0, 2), (1, 2)])
+
+
 def test_lines_of_one_to_fifty_words_with_a_change_are_met(spark):
     rng = random.Random(11)
     def word():
