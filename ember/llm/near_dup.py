@@ -126,59 +126,69 @@ def bayes_filter(pairs: DataFrame, threshold: float, miss: float, n_hashes: int,
 
 
 def _passes(left: np.ndarray, right: np.ndarray, stops, batch: int):
-    """Row index pairs of two signature matrices that pass every stop."""
-    i, j, seen = None, None, None
-    for end, least in stops:
-        if i is None:
-            # the first batch for all rows of the block, a few rows at a time
-            found = []
-            step = max(1, (4 << 20) // max(1, len(right) * batch))
-            for lo in range(0, len(left), step):
-                hits = (left[lo:lo + step, None, :batch] == right[None, :, :batch]).sum(2, dtype=np.uint8)
-                x, y = np.nonzero(hits >= least)
-                found.append((x + lo, y, hits[x, y].astype(np.int64)))
-            i, j, seen = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int),) * 3
-            continue
-        seen = seen + (left[i, end - batch:end] == right[j, end - batch:end]).sum(1)
-        alive = seen >= least
-        i, j, seen = i[alive], j[alive], seen[alive]
-    return i, j
-
-
-def _confirm(i, j, roots, flat, at, sizes, nodes, percent):
-    """Exactly confirmed links among candidate rows (i, j), no more than a
-    spanning forest of what they join. ``flat``/``at`` are the rows' sets as
-    indexes into the block's distinct shingles."""
-    root = {r: r for r in roots.tolist()}
-
-    def find(x):
+    """Row index pairs of two signature matrices that pass every stop, those of a few rows of ``left`` at a time."""
+    step = max(1, (4 << 20) // max(1, len(right) * batch))
+    for lo in range(0, len(left), step):
+        some = left[lo:lo + step]
+        i, j, seen = None, None, None
+        for end, least in stops:
+            if i is None:
+                hits = (some[:, None, :batch] == right[None, :, :batch]).sum(2, dtype=np.uint8)
+                i, j = np.nonzero(hits >= least)
+                seen = hits[i, j].astype(np.int64)
+                continue
+            seen = seen + (some[i, end - batch:end] == right[j, end - batch:end]).sum(1)
+            alive = seen >= least
+            i, j, seen = i[alive], j[alive], seen[alive]
+        yield i + lo, j
+
+
+class _Forest:
+    """Exactly confirmed links among rows of a block, no more than a spanning
+    forest of what they join. ``flat``/``at`` are the rows' sets as indexes into
+    the block's distinct shingles; at most about ``held`` of them meet a row at once."""
+
+    def __init__(self, roots, sets, sizes, nodes, percent, held=1 << 20):
+        self.root = {r: r for r in roots.tolist()}
+        self.roots, self.sizes, self.nodes, self.percent, self.held = roots, sizes, nodes, percent, held
+        self.at = np.concatenate(([0], np.cumsum(sizes)))
+        distinct, self.flat = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
+        self.flat = self.flat.astype(np.int32)
+        self.mark = np.zeros(max(1, len(distinct)), np.int32)
+        self.links: list[tuple[int, int]] = []
+
+    def find(self, x: int) -> int:
+        root = self.root
         while root[x] != x:
             root[x] = x = root[root[x]]
         return x
 
-    links = []
-    order = np.argsort(i, kind="stable")
-    i, j = i[order], j[order]
-    mark = np.zeros(int(flat.max()) + 1 if len(flat) else 1, np.int32)
-    cuts = np.flatnonzero(np.diff(i, prepend=-1))
-    for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(i)]):
-        row, own = int(i[lo]), find(int(roots[i[lo]]))
-        others = np.array([o for o in j[lo:hi].tolist() if find(int(roots[o])) != own], np.int64)
+    def confirm(self, i, j) -> None:
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        cuts = np.flatnonzero(np.diff(i, prepend=-1))
+        for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(i)]):
+            parts = np.cumsum(self.sizes[j[lo:hi]]) // self.held
+            for others in np.split(j[lo:hi], np.flatnonzero(np.diff(parts)) + 1):
+                self._meet(int(i[lo]), others)
+
+    def _meet(self, row: int, others) -> None:
+        own = self.find(int(self.roots[row]))
+        others = np.array([o for o in others.tolist() if self.find(int(self.roots[o])) != own], np.int64)
         if not len(others):
-            continue
-        mine = flat[at[row]:at[row + 1]]
-        mark[mine] = 1
-        lengths = sizes[others]
-        spans = np.repeat(at[others] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-        hits = mark[flat[spans + np.arange(int(lengths.sum()))]]
-        common = np.add.reduceat(hits, np.concatenate(([0], np.cumsum(lengths)[:-1])))
-        mark[mine] = 0
-        for o in others[100 * common >= percent * (sizes[row] + lengths - common)].tolist():
-            x, y = find(int(roots[row])), find(int(roots[o]))
+            return
+        mine = self.flat[self.at[row]:self.at[row + 1]]
+        self.mark[mine] = 1
+        lengths = self.sizes[others]
+        begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        spans = np.repeat(self.at[others] - begin, lengths)
+        common = np.add.reduceat(self.mark[self.flat[spans + np.arange(int(lengths.sum()))]], begin)
+        self.mark[mine] = 0
+        for o in others[100 * common >= self.percent * (self.sizes[row] + lengths - common)].tolist():
+            x, y = self.find(int(self.roots[row])), self.find(int(self.roots[o]))
             if x != y:
-                root[max(x, y)] = min(x, y)
-                links.append((int(nodes[row]), int(nodes[o])))
-    return links
+                self.root[max(x, y)] = min(x, y)
+                self.links.append((int(self.nodes[row]), int(self.nodes[o])))
 
 
 def block_links(members: DataFrame, threshold: float, miss: float, n_hashes: int, batch: int,
@@ -188,8 +198,8 @@ def block_links(members: DataFrame, threshold: float, miss: float, n_hashes: int
     ``members``: key, node, label, sig, shingles, c (bucket size). A bucket is
     cut into blocks of about ``block`` members and every two blocks meet in
     one task, so a task holds two blocks whatever the bucket's size. The
-    signatures are pruned and the shingle sets compared there, and a task
-    emits at most a spanning forest of its members."""
+    signatures are pruned and the shingle sets compared there, the pairs of a
+    few rows at a time, and a task emits at most a spanning forest of its members."""
     agree = threshold + (1 - threshold) / 256
     stops = [(n, least_matches(n, agree, miss)) for n in range(batch, n_hashes + 1, batch)]
 
@@ -202,22 +212,20 @@ def block_links(members: DataFrame, threshold: float, miss: float, n_hashes: int
         main = names[counts.argmax()]
         left = np.flatnonzero(first)
         right = left if frame["i"].iloc[0] == frame["j"].iloc[0] else np.flatnonzero(~first)
-        rows, cols = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        forest = None
         # at least one side is outside the commonest component
         for u, v in ((left[label[left] != main], right),
                      (left[label[left] == main], right[label[right] != main])):
-            if len(u) and len(v):
-                i, j = _passes(sig[u], sig[v], stops, batch)
+            if not len(u) or not len(v):
+                continue
+            for i, j in _passes(sig[u], sig[v], stops, batch):
                 p, q = u[i], v[j]
                 fit = (label[p] != label[q]) & (100 * np.minimum(size[p], size[q])
                                                 >= percent * np.maximum(size[p], size[q]))
-                rows.append(p[fit])
-                cols.append(q[fit])
-        i, j = np.concatenate(rows), np.concatenate(cols)
-        links = []
-        if len(i):
-            _, flat = np.unique(np.frombuffer(b"".join(frame["shingles"]), np.uint64), return_inverse=True)
-            links = _confirm(i, j, label, flat, np.concatenate(([0], np.cumsum(size))), size, node, percent)
+                if fit.any():
+                    forest = forest or _Forest(label, frame["shingles"], size, node, percent)
+                    forest.confirm(p[fit], q[fit])
+        links = forest.links if forest else []
         return pd.DataFrame({"a": [min(x) for x in links], "b": [max(x) for x in links]}, dtype="int64")
 
     n_blocks = F.ceil(F.col("c") / block).cast("int")

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ember.llm import exact_dedup, line_dedup, near_dup, repeats
@@ -340,3 +342,24 @@ def test_lines_without_spaces_and_in_other_scripts(spark):
     z = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(60))
     gone = line_labels(spark, [x, y, z, z[:30] + "!" + z[30:], "".join(reversed(x))])
     assert gone == {0: 0, 1: 1, 2: 0, 3: 1, 4: 0}
+
+
+def test_state_is_closed_after_the_stream(spark):
+    """Every store of a stream's state would keep its memory until some maintenance."""
+    rows = [(i, f"text {i % 7}", "en", "a") for i in range(40)]
+    manager = spark._jvm.org.apache.spark.sql.execution.streaming.state.RocksDBMemoryManager
+    assert exact_dedup.kept_rows(edge_docs(spark, rows)).count() == 7
+    assert manager.getNumRocksDBInstances(False) == 0 and manager.getNumRocksDBInstances(True) == 0
+
+
+def test_pairs_of_a_block_are_held_a_few_rows_at_a_time():
+    """900 rows that all pass: 810,000 pairs, of which every hash was compared at once before."""
+    sig = np.zeros((900, 160), np.uint8)
+    stops = [(n, near_dup.least_matches(n, 0.8, 1e-6)) for n in range(32, 161, 32)]
+    tracemalloc.start()
+    try:
+        parts = [len(part[0]) for part in near_dup._passes(sig, sig, stops, 32)]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(parts) == 900 * 900 and most < 48 << 20
