@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import tracemalloc
 from collections import Counter
 
@@ -222,6 +223,49 @@ def test_a_crowded_key_drops_no_partner(spark):
     same_rows([(r.a, r.b) for r in pairs], [(i, j) for j in range(500) for i in range(j)] + [(0, 1), (0, 2), (1, 2)])
 
 
+def test_exchanges_of_lines_go_when_a_table_is_written(spark):
+    """Every exchange stayed on disk to the end of the session; keys may meet in passes."""
+    rng = random.Random(6)
+    lines = [" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(rng.randint(4, 30))) for _ in range(60)]
+    lines += [edited(rng, x, 2) for x in lines]
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.parquet.compression.codec")
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+    before, set_before = shuffles(), [spark.conf.get(n) for n in names]
+    docs = edge_docs(spark, [(i, x, "en", "a") for i, x in enumerate(lines)])
+    left = line_dedup.dedup_lines(docs, pass_rows=1)
+    end = time.time() + 20
+    while len(shuffles() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffles() - before and [spark.conf.get(n) for n in names] == set_before
+    assert {r.doc_id: r.n_removed for r in left.collect()} == {i: int(i >= 60) for i in range(120)} == line_labels(spark, lines)
+
+
+def test_common_parts_are_keys_of_lines_with_few_others_only(spark):
+    """A head of 20 words was among the keys of all its lines, whose pairs grow with their square."""
+    rng = random.Random(7)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(n))
+
+    head = words(20)
+    lines = [f"{head} {words(40)}" for _ in range(150)] + [f"{head} {words(1)}" for _ in range(5)]
+    once = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "node long, norm string, size int")
+    common = line_dedup._common(once, 20, 100, rate=1)
+    assert line_dedup._common(once, 20, 200, rate=1) is None
+    keys = {r.node: {k >> 10 & (1 << 40) - 1 for k in r["keys"]} for r in
+            line_dedup._sketches(once, 0.8, 20, 16, 24, 20, common).collect()}
+    assert all(len(k) == 20 for k in keys.values())
+    lines_of = Counter(k for i in range(150) for k in keys[i])
+    assert max(lines_of.values()) == 1
+    assert len(set.intersection(*(keys[i] for i in range(150, 155)))) >= 18
+    plain = {r.node: {k >> 10 for k in r["keys"]} for r in line_dedup._sketches(once, 0.8, 20, 16, 24, 20, None).collect()}
+    assert max(Counter(k for i in range(150) for k in plain[i]).values()) == 150
+
+
 def test_lines_of_one_to_fifty_words_with_a_change_are_met(spark):
     rng = random.Random(11)
     def word():
